@@ -9,6 +9,7 @@ does not round the other way.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ TIER_LABELS = {
     # SQL-generation conventions (short form)
     "short": ("No Discount", "Moderate", "Heavy"),
 }
-HEAVY_ABOVE = 0.20
+HEAVY_ABOVE = Decimal("0.20")
 # Default row limits for ranking and exploration results.
 TOP_N_RANKING = 10
 TOP_N_EXPLORATION = 20
@@ -74,6 +75,20 @@ def discount_tier(discount: str | Column = "discount", labels: str | Sequence[st
     return F.when(d == 0, F.lit(none_l)).when(d <= F.lit(HEAVY_ABOVE), F.lit(mod_l)).otherwise(F.lit(heavy_l))
 
 
+def tier_condition(label: str, discount: str | Column = "discount", labels: str | Sequence[str] = "golden") -> Column:
+    """The F3 tier ``label`` as a range predicate on the discount itself, so a
+    filter on the tier reaches the Parquet scan (a CASE expression does not)."""
+    none_l, mod_l, heavy_l = TIER_LABELS[labels] if isinstance(labels, str) else labels
+    d = _c(discount)
+    if label == none_l:
+        return d == 0
+    if label == mod_l:
+        return (d != 0) & (d <= F.lit(HEAVY_ABOVE))
+    if label == heavy_l:
+        return (d > F.lit(HEAVY_ABOVE)) | d.isNull()
+    return F.lit(False)
+
+
 def top_n(df: DataFrame, order: Sequence[Column], n: int | None = TOP_N_RANKING) -> DataFrame:
     """ordered top-n (planned as TakeOrderedAndProject: per-task top-n, then merge)."""
     out = df.orderBy(*order)

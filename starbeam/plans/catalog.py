@@ -8,7 +8,6 @@ exactly with the SQL oracle (``oracle/``).
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -273,4 +272,3 @@ def _queries() -> dict[str, Query]:
 
 
 QUERIES = _queries()
-_ = _dt

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import discount_tier, safe_ratio
+from ..functions.measures import discount_tier, safe_ratio, tier_condition
 from .star import Star, vds_recommendations
 
 # ------------------------------------------------------------------ datasets
@@ -175,7 +175,11 @@ def metric_query(
     ))
     df = dataset_frame(star, dataset, cols)
     for subject, op, value in filters:
-        df = df.filter(_OPS[op.upper()](F.col(subject), value))
+        if dataset == "discount" and subject == "discount_tier" and op == "==":
+            # same rows as testing the CASE label, but prunable row groups
+            df = df.filter(tier_condition(str(value), "discount", "ascii"))
+        else:
+            df = df.filter(_OPS[op.upper()](F.col(subject), value))
     keys = list(groupby)
     if time_col and grain:
         # Truncate to the grain; trunc keeps a DATE (date_trunc would give a timestamp)
