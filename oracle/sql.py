@@ -152,6 +152,32 @@ CTES = {
     "c2in": """SELECT customer_id, arg_min(customer_name, row_id) AS customer_name, arg_min(segment, row_id) AS segment,
         min(row_id) AS first_row FROM b2 GROUP BY customer_id""",
     "g1": FIRST_DIM("b1", ["postal_code", "city", "state"], ["country", "region"], "geography_key"),
+    "p1": FIRST_DIM("b1", ["product_id"], ["product_name", "category", "sub_category"], "product_key",
+                    "product_id IS NOT NULL"),
+    "s1": """SELECT row_number() OVER (ORDER BY first_row) AS ship_mode_key, ship_mode FROM
+        (SELECT ship_mode, min(row_id) AS first_row FROM b1 WHERE ship_mode IS NOT NULL GROUP BY ship_mode)""",
+    "f1": """SELECT row_number() OVER (ORDER BY f.row_id) AS order_line_key, f.row_id FROM b1 f
+        JOIN c1 ON f.customer_id = c1.customer_id JOIN p1 ON f.product_id = p1.product_id
+        JOIN g1 ON f.postal_code IS NOT DISTINCT FROM g1.postal_code AND f.city = g1.city AND f.state = g1.state
+        JOIN s1 ON f.ship_mode = s1.ship_mode""",
+    "c12": """SELECT c1.customer_key, c1.customer_id,
+        CASE WHEN i.first_row IS NOT NULL THEN i.customer_name ELSE c1.customer_name END AS customer_name
+        FROM c1 LEFT JOIN c2in i ON c1.customer_id = i.customer_id
+        UNION ALL
+        SELECT (SELECT COALESCE(MAX(customer_key), 0) FROM c1) + row_number() OVER (ORDER BY first_row),
+        customer_id, customer_name FROM c2in WHERE customer_id NOT IN (SELECT customer_id FROM c1)""",
+    "p12": """SELECT product_key, product_id FROM p1 UNION ALL
+        SELECT (SELECT COALESCE(MAX(product_key), 0) FROM p1) + row_number() OVER (ORDER BY first_row), product_id
+        FROM (SELECT product_id, min(row_id) AS first_row FROM b2 GROUP BY product_id)
+        WHERE product_id NOT IN (SELECT product_id FROM p1)""",
+    "g12": """SELECT geography_key, postal_code, city, state FROM g1 UNION ALL
+        SELECT (SELECT COALESCE(MAX(geography_key), 0) FROM g1) + row_number() OVER (ORDER BY first_row),
+        postal_code, city, state FROM g2in n WHERE NOT EXISTS (SELECT 1 FROM g1 o
+        WHERE o.postal_code IS NOT DISTINCT FROM n.postal_code AND o.city = n.city AND o.state = n.state)""",
+    "s12": """SELECT ship_mode_key, ship_mode FROM s1 UNION ALL
+        SELECT (SELECT COALESCE(MAX(ship_mode_key), 0) FROM s1) + row_number() OVER (ORDER BY first_row), ship_mode
+        FROM (SELECT ship_mode, min(row_id) AS first_row FROM b2 GROUP BY ship_mode)
+        WHERE ship_mode NOT IN (SELECT ship_mode FROM s1)""",
     "g2in": """SELECT postal_code, city, state, arg_min(country, row_id) AS country, arg_min(region, row_id) AS region,
         min(row_id) AS first_row FROM b2 GROUP BY postal_code, city, state""",
 }
@@ -166,15 +192,21 @@ def _deps(sql: str) -> set[str]:
 
 
 def with_prefix(body: str) -> str:
-    """``body`` preceded by the CTEs it needs (transitively), in definition order."""
-    need: set[str] = set()
-    todo = _deps(body)
-    while todo:
-        c = todo.pop()
-        if c not in need:
-            need.add(c)
-            todo |= _deps(CTES[c]) - need
-    parts = [f"{c} AS ({CTES[c]})" for c in ORDER if c in need]
+    """``body`` preceded by the CTEs it needs (transitively), each after the CTEs it uses."""
+    emitted: list[str] = []
+
+    def visit(c: str, path: tuple[str, ...] = ()) -> None:
+        if c in emitted:
+            return
+        if c in path:
+            raise ValueError(f"cyclic CTEs: {path + (c,)}")
+        for d in sorted(_deps(CTES[c]) - {c}, key=ORDER.index):
+            visit(d, path + (c,))
+        emitted.append(c)
+
+    for c in sorted(_deps(body), key=ORDER.index):
+        visit(c)
+    parts = [f"{c} AS ({CTES[c]})" for c in emitted]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
@@ -349,6 +381,15 @@ BODIES: dict[str, str] = {
         SELECT (SELECT COALESCE(MAX(geography_key), 0) FROM g1) + row_number() OVER (ORDER BY first_row),
         postal_code, city, state, country, region FROM g2in n WHERE NOT EXISTS (SELECT 1 FROM g1 o
         WHERE o.postal_code IS NOT DISTINCT FROM n.postal_code AND o.city = n.city AND o.state = n.state)""",
+    "star_incremental_load": f"""SELECT COALESCE(f1.order_line_key,
+             (SELECT COUNT(*) FROM f1) + row_number() OVER (PARTITION BY f1.row_id IS NULL ORDER BY f.row_id))
+             AS order_line_key,
+        f.row_id, c.customer_key, c.customer_name, p.product_key, g.geography_key, s.ship_mode_key, s.ship_mode,
+        {DATEKEY('f.order_date')} AS order_date_key
+        FROM (SELECT * FROM b1 UNION ALL SELECT * FROM b2) f LEFT JOIN f1 ON f.row_id = f1.row_id
+        JOIN c12 c ON f.customer_id = c.customer_id JOIN p12 p ON f.product_id = p.product_id
+        JOIN g12 g ON f.postal_code IS NOT DISTINCT FROM g.postal_code AND f.city = g.city AND f.state = g.state
+        JOIN s12 s ON f.ship_mode = s.ship_mode""",
     # facts, publish, audits
     "fact_resolve_keys": "SELECT row_id, customer_key, product_key, geography_key, ship_mode_key FROM fact",
     "fact_skipped": """SELECT

@@ -91,9 +91,23 @@ def number_facts(facts: DataFrame) -> DataFrame:
 
 def load_facts(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Add the incoming fact rows whose ``row_id`` is not loaded yet."""
-    return upsert_ignore(existing, incoming, ["row_id"], key_col="order_line_key", order_col="row_id").select(
-        *FACT_COLUMNS
-    )
+    return existing.select(*FACT_COLUMNS).unionByName(new_facts(existing, incoming))
+
+
+def new_facts(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """E15b, only the added rows: incoming rows with an unseen ``row_id``, keyed
+    after the largest loaded ``order_line_key``."""
+    empty = existing.limit(0).select(*FACT_COLUMNS)
+    added = upsert_ignore(empty, _unseen(existing, incoming), ["row_id"], key_col="order_line_key",
+                          order_col="row_id")
+    offset = existing.agg(F.coalesce(F.max("order_line_key"), F.lit(0))).scalar()
+    return added.withColumn("order_line_key", F.col("order_line_key") + offset).select(*FACT_COLUMNS)
+
+
+def _unseen(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    from .upsert import _anti
+
+    return _anti(incoming, existing, ["row_id"])
 
 
 def load_summary(star: dict[str, DataFrame], dropped: DataFrame | None = None, skipped: DataFrame | None = None) -> DataFrame:

@@ -17,14 +17,27 @@ from pyspark.sql import functions as F
 from .dims import ORDER_COL, first_rows, keyed
 
 
-def _anti(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key is absent from ``right``; NULL key parts compare equal."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
+def _on(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
     cond = None
     for k in keys:
-        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        c = left[k].eqNullSafe(right[f"{prefix}{k}"])
         cond = c if cond is None else cond & c
-    return left.join(r, cond, "left_anti")
+    return cond
+
+
+def _anti(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``left`` (the incoming batch) whose key is absent from ``right``
+    (the existing table); NULL key parts compare equal.
+
+    The existing table is first reduced to the keys the batch names (a semi
+    join whose build side is the batch's keys, broadcast by Spark when the
+    batch is small), so a small batch never shuffles the whole table.
+    """
+    batch_keys = left.select(*[F.col(k).alias(f"_b_{k}") for k in keys]).distinct()
+    existing = right.select(*keys)
+    hits = existing.join(batch_keys, _on(existing, batch_keys, keys, "_b_"), "left_semi")
+    r = hits.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
+    return left.join(r, _on(left, r, keys, "_r_"), "left_anti")
 
 
 def _next_key(existing: DataFrame, key_col: str) -> Column:

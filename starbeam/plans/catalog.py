@@ -124,6 +124,20 @@ def _e13(fx: Fixture) -> DataFrame:
                          order_col="row_id")
 
 
+def _incremental(fx: Fixture) -> DataFrame:
+    from .star import apply_increment, build_star
+
+    first, second = order_batches(fx.flat)
+    star = apply_increment(build_star(first), second)
+    f, c, p = star.fact_orders, star.dim_customer, star.dim_product
+    return (
+        f.join(c, "customer_key").join(p, "product_key").join(star.dim_geography, "geography_key")
+        .join(star.dim_ship_mode, "ship_mode_key")
+        .select("order_line_key", "row_id", "customer_key", "customer_name", "product_key", "geography_key",
+                "ship_mode_key", "ship_mode", "order_date_key")
+    )
+
+
 def _e14b(fx: Fixture) -> DataFrame:
     return FA.skipped_counts(CL.add_date_keys(fx.flat), _first_batch_dims(fx))
 
@@ -219,6 +233,7 @@ def _queries() -> dict[str, Query]:
     q["assign_surrogate_keys"] = lambda spark, sf_dir: publishable(_e11(spark, sf_dir))
     q["upsert_update"] = _with_fx(_e12)
     q["upsert_ignore"] = _with_fx(_e13)
+    q["star_incremental_load"] = _with_fx(_incremental)
     # facts, publish, audits
     q["fact_resolve_keys"] = _star(lambda s: s.fact_orders.select(
         "row_id", "customer_key", "product_key", "geography_key", "ship_mode_key"))

@@ -11,6 +11,12 @@ newest published version, so they never see dimensions without their facts
 or a half-written table; a failed load leaves an unpublished folder behind
 and changes nothing.  Task retries after a lost executor rewrite the same
 files through Spark's output committer.
+
+Facts are append-only: a full load writes the whole fact table, an
+incremental load (``publish_increment``) writes only its new fact rows and
+lists the earlier fact folders in its marker (``fact_parts``), so a small
+batch never rewrites a large fact table.  Dimensions are rewritten per
+version (copy-on-write).  One writer per ``root`` is assumed.
 """
 
 from __future__ import annotations
@@ -32,7 +38,7 @@ class AuditFailed(RuntimeError):
 
 
 def _new_version() -> str:
-    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
 
 
 def write_tables(star: Star, root: str, version: str) -> dict[str, str]:
@@ -51,46 +57,98 @@ def write_tables(star: Star, root: str, version: str) -> dict[str, str]:
     return paths
 
 
-def read_version(spark: SparkSession, root: str, version: str, names: list[str] | None = None) -> Star:
-    names = names or ["dim_date", "dim_customer", "dim_geography", "dim_product", "dim_ship_mode", "fact_orders",
-                      "dim_product_recommendations"]
-    found = {}
-    for n in names:
-        path = f"{root.rstrip('/')}/{version}/{n}"
+DIMENSIONS = ["dim_date", "dim_customer", "dim_geography", "dim_product", "dim_ship_mode"]
+OPTIONAL = ["dim_product_recommendations"]
+
+
+def _path(root: str, version: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{version}/{name}"
+
+
+def read_version(spark: SparkSession, root: str, version: str, fact_parts: list[str] | None = None) -> Star:
+    found = {n: spark.read.parquet(_path(root, version, n)) for n in DIMENSIONS}
+    for n in OPTIONAL:
         try:
-            found[n] = spark.read.parquet(path)
+            found[n] = spark.read.parquet(_path(root, version, n))
         except Exception:  # table not part of this version
-            if n != "dim_product_recommendations":
-                raise
+            pass
+    found["fact_orders"] = spark.read.parquet(*[_path(root, p, "fact_orders") for p in (fact_parts or [version])])
     return Star(**found)
 
 
+def _markers(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root.rstrip('/')}/{MARKERS}")
+
+
+def published(spark: SparkSession, root: str):
+    """(version, fact_parts, batch_id) of the newest published version, or None."""
+    try:
+        m = _markers(spark, root)
+    except Exception:  # nothing published yet
+        return None
+    # one small row per published version
+    return m.orderBy(F.col("version").desc()).select("version", "fact_parts", "batch_id").first()
+
+
 def published_version(spark: SparkSession, root: str) -> str:
-    m = spark.read.parquet(f"{root.rstrip('/')}/{MARKERS}")
-    row = m.agg(F.max("version")).first()
-    if row is None or row[0] is None:
+    row = published(spark, root)
+    if row is None:
         raise FileNotFoundError(f"no published star under {root}")
-    return row[0]
+    return row.version
+
+
+def _audit_or_fail(tables: dict[str, DataFrame], version: str) -> None:
+    bad = audit_all(tables).filter(F.col("n") > 0)
+    problems = bad.limit(20).collect()  # at most 20 small audit rows
+    if problems:
+        raise AuditFailed(f"star {version} not published: {[r.asDict() for r in problems]}")
+
+
+def _mark(spark: SparkSession, root: str, version: str, parts: list[str], batch_id: int | None) -> None:
+    marker = spark.range(1).select(
+        F.lit(version).alias("version"),
+        F.current_timestamp().alias("published_at"),
+        F.array(*[F.lit(p) for p in parts]).alias("fact_parts"),
+        F.lit(batch_id).cast("long").alias("batch_id"),
+    )
+    marker.write.mode("append").parquet(f"{root.rstrip('/')}/{MARKERS}")
 
 
-def publish_star(star: Star, root: str, audit: bool = True) -> str:
-    """Write, audit, then publish; returns the version name."""
+def publish_star(star: Star, root: str, audit: bool = True, batch_id: int | None = None) -> str:
+    """Write every table, audit, then publish; returns the version name."""
     spark = star.fact_orders.sparkSession
     version = _new_version()
     write_tables(star, root, version)
-    written = read_version(spark, root, version, list(star.tables()))
     if audit:
-        bad = audit_all(written.tables()).filter(F.col("n") > 0)
-        problems = bad.limit(20).collect()  # at most 20 small audit rows
-        if problems:
-            raise AuditFailed(f"star {version} not published: {[r.asDict() for r in problems]}")
-    marker = spark.range(1).select(
-        F.lit(version).alias("version"), F.current_timestamp().alias("published_at")
-    )
-    marker.write.mode("append").parquet(f"{root.rstrip('/')}/{MARKERS}")
+        _audit_or_fail(read_version(spark, root, version).tables(), version)
+    _mark(spark, root, version, [version], batch_id)
+    return version
+
+
+def publish_increment(star: Star, new_facts: DataFrame, root: str, audit: bool = True,
+                      batch_id: int | None = None) -> str:
+    """E16 for an incremental load: dimensions of ``star`` in full, only
+    ``new_facts`` as the fact folder of this version.
+
+    The audit covers the new dimensions and the new fact rows (not-NULL,
+    keys resolve, ``row_id`` unique within the batch; overlap with loaded
+    rows is excluded by the insert-if-absent load itself).
+    """
+    spark = new_facts.sparkSession
+    base = published(spark, root)
+    if base is None:
+        return publish_star(star.with_(fact_orders=new_facts), root, audit, batch_id)
+    version = _new_version()
+    write_tables(star.with_(fact_orders=new_facts), root, version)
+    if audit:
+        _audit_or_fail(read_version(spark, root, version).tables(), version)
+    _mark(spark, root, version, [*base.fact_parts, version], batch_id)
     return version
 
 
 def read_star(spark: SparkSession, root: str) -> Star:
     """The newest published star under ``root``."""
-    return read_version(spark, root, published_version(spark, root))
+    row = published(spark, root)
+    if row is None:
+        raise FileNotFoundError(f"no published star under {root}")
+    return read_version(spark, root, row.version, list(row.fact_parts))
