@@ -89,13 +89,32 @@ def dataset_frame(star: Star, dataset: str, columns: Sequence[str]) -> DataFrame
 
 @dataclass(frozen=True)
 class Metric:
+    """An aggregate over dataset rows (``build``).  Additive metrics also give
+    partial aggregates over fact rows (``parts``) and how to combine them
+    (``final``), which lets ``metric_query`` aggregate before joining."""
+
     name: str
     columns: tuple[str, ...]
     build: Callable[[], Column]
+    parts: Callable[[], dict[str, Column]] | None = None
+    final: Callable[[], Column] | None = None
+
 
+def _sum_metric(name: str, expr: Callable[[], Column], cols, cast: str = "double") -> Metric:
+    part = f"_{name}_sum"
+    return Metric(name, tuple(cols), lambda: F.sum(expr()).cast(cast),
+                  lambda: {part: F.sum(expr())}, lambda: F.sum(part).cast(cast))
 
-def _m(name, cols, build):
-    return Metric(name, tuple(cols), build)
+
+def _ratio_metric(name: str, num: Callable[[], Column], den: Callable[[], Column], den_agg, cols, scale=1.0):
+    pn, pd = f"_{name}_num", f"_{name}_den"
+    return Metric(
+        name, tuple(cols),
+        lambda: safe_ratio(F.sum(num()), den_agg(den())) * scale if scale != 1.0
+        else safe_ratio(F.sum(num()), den_agg(den())),
+        lambda: {pn: F.sum(num()), pd: den_agg(den())},
+        lambda: safe_ratio(F.sum(pn), F.sum(pd)) * scale if scale != 1.0 else safe_ratio(F.sum(pn), F.sum(pd)),
+    )
 
 
 def _distinct_orders():
@@ -104,18 +123,18 @@ def _distinct_orders():
 
 NAMED_METRICS = {
     # M1-M8: the saved metrics of the main dataset
-    "total_revenue": _m("total_revenue", ["sales"], lambda: F.sum("sales").cast("double")),
-    "total_profit": _m("total_profit", ["profit"], lambda: F.sum("profit").cast("double")),
-    "profit_margin_pct": _m("profit_margin_pct", ["profit", "sales"],
-                            lambda: safe_ratio(F.sum("profit"), F.sum("sales")) * 100),
-    "total_quantity": _m("total_quantity", ["quantity"], lambda: F.sum("quantity").cast("long")),
-    "avg_order_value": _m("avg_order_value", ["sales", "order_id"],
-                          lambda: safe_ratio(F.sum("sales"), _distinct_orders())),
-    "revenue_after_discount": _m("revenue_after_discount", ["revenue_after_discount"],
-                                 lambda: F.sum("revenue_after_discount").cast("double")),
-    "total_discount_impact": _m("total_discount_impact", ["sales", "discount"],
-                                lambda: F.sum(F.col("sales") * F.col("discount")).cast("double")),
-    "order_count": _m("order_count", ["order_id"], lambda: _distinct_orders().cast("long")),
+    "total_revenue": _sum_metric("total_revenue", lambda: F.col("sales"), ["sales"]),
+    "total_profit": _sum_metric("total_profit", lambda: F.col("profit"), ["profit"]),
+    "profit_margin_pct": _ratio_metric("profit_margin_pct", lambda: F.col("profit"), lambda: F.col("sales"), F.sum,
+                                       ["profit", "sales"], 100.0),
+    "total_quantity": _sum_metric("total_quantity", lambda: F.col("quantity"), ["quantity"], "long"),
+    "avg_order_value": Metric("avg_order_value", ("sales", "order_id"),
+                              lambda: safe_ratio(F.sum("sales"), _distinct_orders())),
+    "revenue_after_discount": _sum_metric("revenue_after_discount", lambda: F.col("revenue_after_discount"),
+                                          ["revenue_after_discount"]),
+    "total_discount_impact": _sum_metric("total_discount_impact", lambda: F.col("sales") * F.col("discount"),
+                                         ["sales", "discount"]),
+    "order_count": Metric("order_count", ("order_id",), lambda: _distinct_orders().cast("long")),
 }
 
 
@@ -128,15 +147,22 @@ def adhoc(aggregate: str, column: str, label: str | None = None) -> Metric:
     or ``<aggregate>_<column>``."""
     agg = aggregate.upper()
     name = _snake(label) if label else f"{agg.lower()}_{column}"
-    builders = {
-        "SUM": lambda: F.sum(column).cast("double"),
-        "AVG": lambda: safe_ratio(F.sum(column), F.count(column)),
-        "COUNT": lambda: F.count(column).cast("long"),
-        "COUNT_DISTINCT": lambda: F.countDistinct(column).cast("long"),
-        "MIN": lambda: F.min(column).cast("double"),
-        "MAX": lambda: F.max(column).cast("double"),
-    }
-    return Metric(name, (column,), builders[agg])
+    col = lambda: F.col(column)
+    part = f"_{name}_part"
+    if agg == "SUM":
+        return _sum_metric(name, col, [column])
+    if agg == "AVG":
+        return _ratio_metric(name, col, col, F.count, [column])
+    if agg == "COUNT":
+        return Metric(name, (column,), lambda: F.count(column).cast("long"),
+                      lambda: {part: F.count(column)}, lambda: F.sum(part).cast("long"))
+    if agg in ("MIN", "MAX"):
+        fn = F.min if agg == "MIN" else F.max
+        return Metric(name, (column,), lambda: fn(column).cast("double"),
+                      lambda: {part: fn(column)}, lambda: fn(part).cast("double"))
+    if agg == "COUNT_DISTINCT":
+        return Metric(name, (column,), lambda: F.countDistinct(column).cast("long"))
+    raise ValueError(f"unknown aggregate {aggregate!r}")
 
 
 # Time grains of the chart specs (ISO 8601 durations).
@@ -170,27 +196,78 @@ def metric_query(
     Sorted by the first metric (descending unless ``order_desc`` is False),
     group keys breaking ties; ``row_limit`` keeps the first rows."""
     ms = [NAMED_METRICS[m] if isinstance(m, str) else m for m in metrics]
+    if all(m.parts is not None for m in ms):
+        out, keys = _rolled(star, dataset, ms, list(groupby), list(filters), time_col, grain)
+    else:
+        out, keys = _direct(star, dataset, ms, list(groupby), list(filters), time_col, grain)
+    first = F.col(ms[0].name)
+    order = [first.desc_nulls_first() if order_desc else first.asc_nulls_last(), *[F.col(k).asc() for k in keys]]
+    out = out.orderBy(*order)
+    return out.limit(row_limit) if row_limit is not None else out
+
+
+def _filter(df: DataFrame, dataset: str, subject: str, op: str, value, col: Column) -> DataFrame:
+    if dataset == "discount" and subject == "discount_tier" and op == "==":
+        # same rows as testing the CASE label, but prunable row groups
+        return df.filter(tier_condition(str(value), "discount", "ascii"))
+    return df.filter(_OPS[op.upper()](col, value))
+
+
+def _grain(df: DataFrame, time_col: str | None, grain: str | None, keys: list[str]):
+    if time_col and grain:
+        # Truncate to the grain; trunc keeps a DATE (date_trunc would give a timestamp)
+        return df.withColumn(time_col, F.trunc(F.col(time_col), GRAINS[grain])), [time_col, *keys]
+    return df, keys
+
+
+def _direct(star, dataset, ms, groupby, filters, time_col, grain):
+    """Join the needed dimensions to every fact row, then aggregate (needed for distinct counts)."""
     cols = list(dict.fromkeys(
         [*groupby, *[f[0] for f in filters], *[c for m in ms for c in m.columns], *([time_col] if time_col else [])]
     ))
     df = dataset_frame(star, dataset, cols)
     for subject, op, value in filters:
-        if dataset == "discount" and subject == "discount_tier" and op == "==":
-            # same rows as testing the CASE label, but prunable row groups
-            df = df.filter(tier_condition(str(value), "discount", "ascii"))
-        else:
-            df = df.filter(_OPS[op.upper()](F.col(subject), value))
-    keys = list(groupby)
-    if time_col and grain:
-        # Truncate to the grain; trunc keeps a DATE (date_trunc would give a timestamp)
-        df = df.withColumn(time_col, F.trunc(F.col(time_col), GRAINS[grain]))
-        keys = [time_col, *keys]
+        df = _filter(df, dataset, subject, op, value, F.col(subject))
+    df, keys = _grain(df, time_col, grain, groupby)
     aggs = [m.build().alias(m.name) for m in ms]
-    out = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
-    first = F.col(ms[0].name)
-    order = [first.desc_nulls_first() if order_desc else first.asc_nulls_last(), *[F.col(k).asc() for k in keys]]
-    out = out.orderBy(*order)
-    return out.limit(row_limit) if row_limit is not None else out
+    return (df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)), keys
+
+
+def _rolled(star, dataset, ms, groupby, filters, time_col, grain):
+    """Aggregate the fact on the foreign keys first, join dimensions to the partial
+    aggregates, then combine them (additive metrics only)."""
+    spec = DATASETS[dataset]
+    wanted = [*groupby, *[f[0] for f in filters], *([time_col] if time_col else [])]
+    unknown = [c for c in wanted + [c for m in ms for c in m.columns] if c not in spec]
+    if unknown:
+        raise KeyError(f"dataset {dataset!r} has no column(s) {unknown}")
+    tables = sorted({spec[c][0] for c in wanted} - {"fact"})
+    fact = star.fact_orders
+    for subject, op, value in filters:
+        if spec[subject][0] == "fact":
+            src = spec[subject][1] or "discount"
+            col = discount_tier(F.col("discount"), "ascii") if subject == "discount_tier" else F.col(src)
+            fact = _filter(fact, dataset, subject, op, value, col)
+    fact_keys = []
+    for c in groupby:
+        if spec[c][0] == "fact":
+            fact_keys.append((discount_tier(F.col("discount"), "ascii") if c == "discount_tier"
+                              else F.col(spec[c][1])).alias(c))
+    parts = {k: v for m in ms for k, v in m.parts().items()}
+    roll = fact.groupBy(*[_JOIN_KEY[t][0] for t in tables], *fact_keys).agg(
+        *[v.alias(k) for k, v in parts.items()]
+    )
+    for t in tables:
+        fk, pk = _JOIN_KEY[t]
+        own = [c for c in dict.fromkeys(wanted) if spec[c][0] == t]
+        roll = roll.join(star.tables()[t].select(F.col(pk).alias(fk), *[F.col(spec[c][1]).alias(c) for c in own]),
+                         fk)
+    for subject, op, value in filters:
+        if spec[subject][0] != "fact":
+            roll = _filter(roll, dataset, subject, op, value, F.col(subject))
+    roll, keys = _grain(roll, time_col, grain, groupby)
+    aggs = [m.final().alias(m.name) for m in ms]
+    return (roll.groupBy(*keys).agg(*aggs) if keys else roll.agg(*aggs)), keys
 
 
 # -------------------------------------------------------------------- charts
