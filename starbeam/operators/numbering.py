@@ -39,11 +39,13 @@ def assign_surrogate_keys(
     expression such as ``max(existing_key) + 1`` passed as a Column.
     """
     spark = df.sparkSession
-    if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # names sort ascending; Columns keep the direction the caller gave them
     order = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_cols]
     path = new_path(spark, "numbered")
+    # an explicit count (the session's shuffle partitions, sized to the data
+    # on a cluster) keeps the written table split into that many files
+    if num_partitions is None:
+        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
         df.repartitionByRange(num_partitions, *order)
         .sortWithinPartitions(*order)

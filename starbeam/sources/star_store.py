@@ -31,6 +31,7 @@ from ..operators.audit import audit_all
 from ..plans.star import Star
 
 MARKERS = "_published"
+MAX_RECORDS_PER_FILE = 20_000_000
 
 
 class AuditFailed(RuntimeError):
@@ -52,7 +53,8 @@ def write_tables(star: Star, root: str, version: str) -> dict[str, str]:
             # statistics then skip date ranges a filter excludes
             df = df.sortWithinPartitions("order_date_key")
         path = f"{root.rstrip('/')}/{version}/{name}"
-        df.write.mode("errorifexists").parquet(path)
+        # bounded file sizes however large a task's share is
+        df.write.mode("errorifexists").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
         paths[name] = path
     return paths
 
