@@ -210,6 +210,24 @@ def with_prefix(body: str) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
+def _dollars(x: str) -> str:
+    return f"CASE WHEN {x} < 0 THEN '-$' || format('{{:,.2f}}', -({x})) ELSE '$' || format('{{:,.2f}}', {x}) END"
+
+
+RULE = "repeat('=', 80)"
+REPORT_HEADER = (f"{RULE} || chr(10) || 'TOP SELLING PRODUCTS - PRODUCT REPORT' || chr(10) || "
+                 f"'Generated: 2026-06-21' || chr(10) || {RULE} || chr(10) || chr(10)")
+REPORT_BLOCK = f"""'RANK #' || CAST(revenue_rank AS VARCHAR) || {NL} || repeat('-', 80) || {NL}
+    || 'Product ID   : ' || product_id || {NL} || 'Product Name : ' || product_name || {NL}
+    || 'Category     : ' || concat_ws(' > ', category, sub_category) || {NL}
+    || 'DB Metrics   : Revenue ' || {_dollars(MONEY('revenue'))} || ' | Units Sold ' || CAST(units_sold AS VARCHAR)
+    || ' | Profit ' || {_dollars(MONEY('profit'))}
+    || ' | Margin ~' || format('{{:,.1f}}', COALESCE({PCT('profit', 'revenue', 1)}, 0.0)) || '%' || {NL} || {NL}
+    || 'WEB INTELLIGENCE:' || {NL}
+    || CASE WHEN revenue_rank % 2 = 1 THEN '- Brand: ' || sub_category || {NL} || '- Type: ' || category ELSE '' END
+    || {NL} || {NL} || 'Sources:' || {NL} || '- none' || {NL} || {NL} || {RULE}"""
+
+
 # tables of the star as the oracle names them
 STAR_CTE = {
     "dim_date": "dim_date_full", "dim_customer": "dim_customer", "dim_geography": "dim_geography",
@@ -348,6 +366,10 @@ def _ms(*names: str) -> str:
 BODIES: dict[str, str] = {
     # sources and sinks
     "csv_source": "SELECT * FROM raw",
+    "report_source": f"""SELECT {REPORT_HEADER} || string_agg(block, {NL} || {NL} ORDER BY revenue_rank)
+        || {NL} || {NL} AS value
+        FROM (SELECT revenue_rank, (revenue_rank - 1) // 100 AS file_no, {REPORT_BLOCK} AS block FROM ranking)
+        GROUP BY file_no""",
     "recommendation_source": """SELECT source_product_id, recommended_product_id, recommendation_type,
         CAST(recommendation_score AS DOUBLE) AS recommendation_score, recommendation_reason FROM pairs""",
     "star_sink": _counts([(t, STAR_CTE[t]) for t in TABLE_ORDER]),
@@ -409,6 +431,8 @@ BODIES: dict[str, str] = {
         UNION ALL
         SELECT (SELECT COUNT(*) FROM fact WHERE order_date_key < 19950601) + row_number() OVER (ORDER BY row_id),
         row_id, order_id FROM fact WHERE order_date_key >= 19950601""",
+    "publish_atomic": """SELECT CAST(1 AS BIGINT) AS published_versions, 1 AS fact_parts,
+        COUNT(*) AS fact_rows FROM fact""",
     "load_summary": _union([
         *[f"SELECT '{t}' AS item, CAST(COUNT(*) AS BIGINT) AS n FROM {STAR_CTE[t]}" for t in TABLE_ORDER],
         "SELECT 'dropped_rows' AS item, dropped_rows AS n FROM rej",

@@ -27,7 +27,7 @@ from ..operators.upsert import upsert_ignore, upsert_update
 from ..session import new_path
 from ..sources import csv as CSV
 from ..sources.fixture import BATCH_CUTOFF, LINEITEM_COLUMNS, order_batches, raw_orders, table
-from ..sources.star_store import MARKERS
+from ..sources.star_store import MARKERS, read_star
 from ..warehouse import FIXTURE_LOAD_DATE, Fixture, fixture
 from . import golden as GQ
 from . import reports as AR
@@ -149,8 +149,13 @@ def _e15b(fx: Fixture) -> DataFrame:
 
 
 def _e16(fx: Fixture) -> DataFrame:
+    """Published versions, and the fact as a reader sees it through the newest marker."""
     markers = fx.spark.read.parquet(f"{fx.star_root}/{MARKERS}")
-    return markers.agg(F.count(F.lit(1)).alias("published_versions"))
+    newest = read_star(fx.spark, fx.star_root).fact_orders
+    return markers.agg(
+        F.count(F.lit(1)).alias("published_versions"),
+        F.max_by(F.size("fact_parts"), "version").alias("fact_parts"),
+    ).withColumn("fact_rows", newest.agg(F.count(F.lit(1))).scalar())
 
 
 def _e17(fx: Fixture) -> DataFrame:
