@@ -83,11 +83,17 @@ def main(argv: list[str] | None = None) -> int:
     from .sources.star_store import publish_increment, publish_star, read_star
 
     if args.cmd == "load":
-        from .operators.clean import clean_orders
+        from .operators.clean import clean_orders_observed
         from .plans.star import build_star, increment
+        from .session import new_path
         from .sources.csv import read_orders_csv
 
-        clean = clean_orders(read_orders_csv(spark, args.csv))
+        clean, raw_obs, kept_obs = clean_orders_observed(read_orders_csv(spark, args.csv))
+        # the clean record is written once; the reject counts arrive with that job
+        path = new_path(spark, "clean")
+        clean.write.parquet(path)
+        print({**raw_obs.get, **kept_obs.get})
+        clean = spark.read.parquet(path)
         try:
             star = read_star(spark, args.star)
         except FileNotFoundError:

@@ -6,7 +6,7 @@ parse, NULL-key drop, then trimming (so a blank-only id survives as '').
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..schema import KEY_COLUMNS, MONEY, RATE
@@ -93,3 +93,22 @@ def reject_counts(raw: DataFrame) -> DataFrame:
         "dropped_rows",
         (F.col("distinct_rows") - F.col("dropped_rows")).alias("clean_rows"),
     )
+
+
+def clean_orders_observed(raw: DataFrame) -> tuple[DataFrame, Observation, Observation]:
+    """E3b on the write path: ``clean_orders`` with its reject counts gathered as
+    metrics of the same job that consumes the clean rows (no extra pass).
+
+    Returns (clean, raw_metrics, kept_metrics); read them with ``.get`` after
+    the clean rows have been written.  ``raw_rows`` counts input rows,
+    ``distinct_rows`` rows after E1, ``null_<key>`` missing keys after E2.
+    """
+    raw_obs, kept_obs = Observation("raw"), Observation("parsed")
+    counted = raw.observe(raw_obs, F.count(F.lit(1)).alias("raw_rows"))
+    parsed = parse_dates(dedup_rows(counted)).observe(
+        kept_obs,
+        F.count(F.lit(1)).alias("distinct_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in KEY_COLUMNS],
+    )
+    df = add_date_keys(drop_null_keys(parsed))
+    return type_measures(normalise_strings(df)), raw_obs, kept_obs

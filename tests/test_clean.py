@@ -74,3 +74,16 @@ def test_csv_source_latin1_quotes_and_na(spark, tmp_path):
         assert first.postal_code == "02138"
     second = read_orders_csv(spark, str(tmp_path / "utf8")).filter(F.col("row_id") == "2").first()
     assert second.customer_id is None and second.postal_code is None
+
+
+def test_observed_reject_counts_match_the_aggregate(spark):
+    rows = [{}, {}, {"row_id": "2", "customer_id": None}, {"row_id": "3", "order_date": "x"},
+            {"row_id": "4", "order_date": "x", "product_id": None}]
+    raw = frame(spark, rows)
+    clean, raw_obs, kept_obs = CL.clean_orders_observed(raw)
+    assert clean.count() == 1
+    m = {**raw_obs.get, **kept_obs.get}
+    r = CL.reject_counts(raw).first()
+    assert m["raw_rows"] == r.raw_rows and m["distinct_rows"] == r.raw_rows - r.duplicate_rows
+    assert (m["null_order_date"], m["null_customer_id"], m["null_product_id"]) == (
+        r.null_order_date, r.null_customer_id, r.null_product_id)
