@@ -228,6 +228,13 @@ REPORT_BLOCK = f"""'RANK #' || CAST(revenue_rank AS VARCHAR) || {NL} || repeat('
     || {NL} || {NL} || 'Sources:' || {NL} || '- none' || {NL} || {NL} || {RULE}"""
 
 
+CTES["report_text"] = f"""SELECT file_no, {REPORT_HEADER} || string_agg(block, {NL} || {NL} ORDER BY revenue_rank)
+    || {NL} || {NL} AS value
+    FROM (SELECT revenue_rank, (revenue_rank - 1) // 100 AS file_no, {REPORT_BLOCK} AS block FROM ranking)
+    GROUP BY file_no"""
+ORDER.append("report_text")
+
+
 # tables of the star as the oracle names them
 STAR_CTE = {
     "dim_date": "dim_date_full", "dim_customer": "dim_customer", "dim_geography": "dim_geography",
@@ -366,10 +373,8 @@ def _ms(*names: str) -> str:
 BODIES: dict[str, str] = {
     # sources and sinks
     "csv_source": "SELECT * FROM raw",
-    "report_source": f"""SELECT {REPORT_HEADER} || string_agg(block, {NL} || {NL} ORDER BY revenue_rank)
-        || {NL} || {NL} AS value
-        FROM (SELECT revenue_rank, (revenue_rank - 1) // 100 AS file_no, {REPORT_BLOCK} AS block FROM ranking)
-        GROUP BY file_no""",
+    "report_source": """SELECT file_no, i AS line_no, parts[i] AS line
+        FROM (SELECT file_no, string_split(value, chr(10)) AS parts FROM report_text) t, range(1, len(parts)) r(i)""",
     "recommendation_source": """SELECT source_product_id, recommended_product_id, recommendation_type,
         CAST(recommendation_score AS DOUBLE) AS recommendation_score, recommendation_reason FROM pairs""",
     "star_sink": _counts([(t, STAR_CTE[t]) for t in TABLE_ORDER]),

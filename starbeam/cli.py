@@ -106,10 +106,10 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "recommend":
         from .plans.recs import load_recommendations
         from .sources.csv import read_recommendations
-        from .sources.report import read_report
+        from .sources.report import read_report_lines
 
         day = _dt.date.fromisoformat(args.date) if args.date else _dt.date.today()
-        new = load_recommendations(spark, star, read_report(spark, args.report),
+        new = load_recommendations(spark, star, read_report_lines(spark, args.report),
                                    read_recommendations(spark, args.pairs), day)
         print(publish_star(new, args.star))
         return 0

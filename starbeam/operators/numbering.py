@@ -74,3 +74,49 @@ def assign_surrogate_keys(
         .withColumn(key_col, (start_col + F.col("_sb_off") + local_pos).cast("long"))
         .drop(_PID, _POS, "_sb_off")
     )
+
+
+def running_sum(
+    df: DataFrame,
+    order_cols: Sequence[str | Column],
+    value_col: str,
+    out_col: str,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Add ``out_col``: the sum of ``value_col`` over all rows up to and including
+    this one in ``order_cols`` order (a total order), without a global window.
+
+    Same layout freezing as ``assign_surrogate_keys``; each partition's total
+    goes into a table with one row per partition (broadcast, bounded by the
+    partition count), and the sum inside a partition is a window over that
+    partition's rows alone.
+    """
+    spark = df.sparkSession
+    order = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_cols]
+    if num_partitions is None:
+        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_path(spark, "prefix")
+    (
+        df.repartitionByRange(num_partitions, *order)
+        .sortWithinPartitions(*order)
+        .withColumn(_PID, F.spark_partition_id())
+        .withColumn(_POS, F.monotonically_increasing_id())
+        .write.parquet(path)
+    )
+    frozen = spark.read.parquet(path)
+    totals = (
+        frozen.groupBy(_PID)
+        .agg(F.sum(value_col).alias("_sb_t"))
+        .withColumn(
+            "_sb_off",
+            F.coalesce(F.sum("_sb_t").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)),
+                       F.lit(0)),
+        )
+        .select(_PID, "_sb_off")
+    )
+    inside = Window.partitionBy(_PID).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        frozen.join(F.broadcast(totals), _PID)
+        .withColumn(out_col, F.col("_sb_off") + F.sum(value_col).over(inside))
+        .drop(_PID, _POS, "_sb_off")
+    )

@@ -31,8 +31,13 @@ def _strip(c: Column) -> Column:
 
 
 def report_blocks(reports: DataFrame) -> DataFrame:
-    """(report_file, block_no, product_id, product_name, category_raw, web_intel)."""
+    """R1 on whole-file texts (``read_report``): (report_file, block_no,
+    product_id, product_name, category_raw, web_intel)."""
     blocks = reports.select("report_file", F.posexplode(F.split("value", BLOCK_SPLIT)).alias("block_no", "block"))
+    return _parse_blocks(blocks)
+
+
+def _parse_blocks(blocks: DataFrame) -> DataFrame:
     b = F.col("block")
     found = b.rlike(ID_PATTERN) & b.rlike(NAME_PATTERN)
     return blocks.filter(found).select(
@@ -45,6 +50,39 @@ def report_blocks(reports: DataFrame) -> DataFrame:
     )
 
 
+def report_blocks_from_lines(lines: DataFrame) -> DataFrame:
+    """R1 over line rows (``read_report_lines``): the same blocks and fields as
+    ``report_blocks`` without holding a whole file in one task.
+
+    Each line splits into pieces on the separator; every piece after the
+    first, and the first piece of a file, opens a block.  A block's number is
+    the running count of opened blocks (a distributed prefix sum); its text is
+    its pieces joined by newlines, grouped per block (one product's section).
+    """
+    from .numbering import running_sum
+
+    pieces = lines.select(
+        "report_file", "line_no", F.posexplode(F.split("line", BLOCK_SPLIT)).alias("piece_no", "piece")
+    ).withColumn(
+        "_opens", ((F.col("piece_no") > 0) | ((F.col("line_no") == 1) & (F.col("piece_no") == 0))).cast("long")
+    )
+    numbered = running_sum(pieces, ["report_file", "line_no", "piece_no"], "_opens", "block_id")
+    texts = numbered.groupBy("report_file", "block_id").agg(
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct("line_no", "piece_no", "piece"))), lambda s: s["piece"]),
+            "\n",
+        ).alias("value")
+    )
+    # a block is parsed exactly as a block cut from the whole text
+    blocks = texts.select("report_file", F.col("block_id").alias("block_no"), F.col("value").alias("block"))
+    return _parse_blocks(blocks)
+
+
+def parse_reports(reports: DataFrame) -> DataFrame:
+    """R1 on either form of S2: line rows (``line``) or whole texts (``value``)."""
+    return report_blocks_from_lines(reports) if "line" in reports.columns else report_blocks(reports)
+
+
 def category_levels(blocks: DataFrame) -> DataFrame:
     """R1b: "Category > Sub-Category" into its two levels (NULL when absent)."""
     parts = F.split(F.col("category_raw"), LEVEL_SEPARATOR)

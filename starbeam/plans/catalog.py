@@ -84,7 +84,14 @@ def _first_batch_dims(fx: Fixture) -> dict[str, DataFrame]:
 
 
 def _blocks(fx: Fixture) -> DataFrame:
-    return RC.report_blocks(fx.reports)
+    return RC.report_blocks_from_lines(fx.report_lines)
+
+
+def _report_lines(fx: Fixture) -> DataFrame:
+    """S2 by lines: (file_no, line_no, line); file_no comes from the report folder name."""
+    return fx.report_lines.select(
+        F.regexp_extract("report_file", r"file_no=([0-9]+)", 1).cast("long").alias("file_no"), "line_no", "line"
+    )
 
 
 def _with_fx(fn: Callable[[Fixture], DataFrame]) -> Query:
@@ -214,7 +221,7 @@ def _queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     # sources and sinks
     q["csv_source"] = _with_fx(_raw_csv)
-    q["report_source"] = _with_fx(lambda fx: fx.reports.select("value"))
+    q["report_source"] = _with_fx(_report_lines)
     q["recommendation_source"] = _with_fx(_pairs_csv)
     q["star_sink"] = _with_fx(lambda fx: _counts(fx.star.tables()))
     # cleaning

@@ -11,7 +11,7 @@ from ..operators import recs as R
 from ..operators.dims import ensure_date
 from ..session import new_path
 from ..sources.fixture import recommendation_pairs
-from ..sources.report import read_report, render_report, write_report
+from ..sources.report import read_report_lines, render_report, write_report
 from .reports import product_ranking
 from .star import Star
 
@@ -42,9 +42,10 @@ def load_recommendations(
     load_date: _dt.date,
     supplied_notes: DataFrame | None = None,
 ) -> Star:
-    """Parse the reports, keep pairs whose both products the reports name, and
-    add them to the star's recommendation table under ``load_date``."""
-    blocks = R.report_blocks(reports)
+    """Parse the reports (line rows or whole texts), keep pairs whose both
+    products the reports name, and add them to the star's recommendation
+    table under ``load_date``."""
+    blocks = R.parse_reports(reports)
     if supplied_notes is not None:
         filled = R.missing_notes(blocks, supplied_notes).select("product_id", F.col("web_intel").alias("_fill"))
         blocks = blocks.join(filled, "product_id", "left").withColumn(
@@ -61,9 +62,9 @@ def load_recommendations(
 
 
 def fixture_report(spark: SparkSession, star: Star, generated: _dt.date) -> DataFrame:
-    """Write the fixture report for ``star`` to the work folder and read it back."""
+    """Write the fixture report for ``star`` to the work folder and read it back (S2, by lines)."""
     path = write_product_report(star, new_path(spark, "report"), generated)
-    return read_report(spark, path)
+    return read_report_lines(spark, path)
 
 
 def load_recommendations_from_fixture(spark: SparkSession, sf_dir: str, star: Star, load_date: _dt.date) -> Star:

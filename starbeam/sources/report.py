@@ -31,6 +31,34 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_report_lines(spark: SparkSession, path: str) -> DataFrame:
+    """S2, distributed: one row per line -- ``report_file``, ``line_no`` (1-based
+    within its file), ``line`` -- with a large file read by many tasks.
+
+    Lines inside one file split are read in order, and splits are ordered by
+    their start offset, so (file, split start, position in split) orders the
+    lines of a file; dense numbers come from the distributed numbering, minus
+    each file's first number (a table with one row per file).
+    """
+    from ..operators.numbering import assign_surrogate_keys
+
+    raw = (
+        spark.read.option("recursiveFileLookup", True)
+        .text(path)
+        .select(
+            F.col("_metadata.file_path").alias("report_file"),
+            F.col("_metadata.file_block_start").alias("_split"),
+            F.monotonically_increasing_id().alias("_in_split"),
+            F.col("value").alias("line"),
+        )
+    )
+    numbered = assign_surrogate_keys(raw, ["report_file", "_split", "_in_split"], "_n")
+    first = numbered.groupBy("report_file").agg(F.min("_n").alias("_first"))
+    return numbered.join(first, "report_file").select(
+        "report_file", (F.col("_n") - F.col("_first") + 1).alias("line_no"), "line"
+    )
+
+
 def _dollars(x: Column) -> Column:
     return F.when(x < 0, F.concat(F.lit("-$"), F.format_number(-x, 2))).otherwise(
         F.concat(F.lit("$"), F.format_number(x, 2))

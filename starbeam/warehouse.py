@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .plans.star import Star, build_star
 from .session import new_path
 from .sources.fixture import flat_orders, recommendation_pairs
-from .sources.report import read_report
+from .sources.report import read_report, read_report_lines
 from .sources.star_store import publish_star, read_star
 
 # Fixed value: load date of the recommendation snapshot in the fixture load.
@@ -49,8 +49,14 @@ class Fixture:
 
     @property
     def reports(self) -> DataFrame:
+        """The report files as whole texts (one row per file)."""
         return read_report(self.spark, self.report_path)
 
+    @property
+    def report_lines(self) -> DataFrame:
+        """The report files as numbered lines (read by many tasks)."""
+        return read_report_lines(self.spark, self.report_path)
+
     @property
     def pairs(self) -> DataFrame:
         return recommendation_pairs(self.spark, self.sf_dir)
@@ -75,7 +81,7 @@ def _build(spark: SparkSession, sf_dir: str) -> Fixture:
     report_path = write_product_report(star, new_path(spark, "report"), FIXTURE_LOAD_DATE)
     timing["report"], t = time.time() - t, time.time()
     star = load_recommendations(
-        spark, star, read_report(spark, report_path), recommendation_pairs(spark, sf_dir), FIXTURE_LOAD_DATE
+        spark, star, read_report_lines(spark, report_path), recommendation_pairs(spark, sf_dir), FIXTURE_LOAD_DATE
     )
     timing["recommendations"], t = time.time() - t, time.time()
     star_root = new_path(spark, "star")

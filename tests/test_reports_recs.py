@@ -85,3 +85,23 @@ def test_audits_clean_star_and_catch_violations(spark, star):
     found = {(r.audit, r.item) for r in audit_all(bad).filter(F.col("n") > 0).collect()}
     assert ("foreign_key", "customer_key->dim_customer") in found
     assert ("unique", "row_id") in found
+
+
+def test_line_parser_equals_whole_text_parser(spark, tmp_path):
+    from starbeam.sources.report import read_report, read_report_lines
+
+    a = ("HEADER\n" + "=" * 12 + "\nProduct ID : A-1\nProduct Name : Lamp\nCategory : F > L\n"
+         "WEB INTELLIGENCE:\n- one\n- two\nSources:\n- x\n" + "=" * 10 + " trailing text on the rule line\n"
+         "Product ID : A-2\nProduct Name : Desk " + "=" * 11 + " Product ID : A-3\nProduct Name : Chair\n")
+    b = ("Product ID : B-1\r\nProduct Name : Stool\r\nWEB INTELLIGENCE:\r\nnotes\r\n=====\r\n"
+         + "=" * 10 + "\r\nProduct ID : B-2\r\nProduct Name : Bench")  # CRLF, no final newline
+    (tmp_path / "a.txt").write_text(a)
+    (tmp_path / "b.txt").write_bytes(b.encode())
+    whole = RC.report_blocks(read_report(spark, str(tmp_path))).drop("block_no")
+    lines = RC.report_blocks_from_lines(read_report_lines(spark, str(tmp_path))).drop("block_no")
+    got = sorted(tuple(r) for r in lines.collect())
+    want = sorted(tuple(r) for r in whole.collect())
+    assert [g[1] for g in got] == ["A-1", "A-2", "A-3", "B-1", "B-2"]
+    assert got == want
+    numbered = read_report_lines(spark, str(tmp_path)).filter(F.col("report_file").endswith("b.txt"))
+    assert sorted(r.line_no for r in numbered.collect()) == list(range(1, 9))
