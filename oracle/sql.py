@@ -608,5 +608,28 @@ for _name, _key in METRIC_KEYS.items():
     BODIES[_key] = f"SELECT {_ms(_name)} FROM fact fo"
 
 
+# DATE / TIMESTAMP output columns, published as ISO text on both sides
+TEXT_DATES = {
+    "assign_surrogate_keys": ["l_shipdate"],
+    "clean_parse_dates": ["order_date", "ship_date"],
+    "clean_drop_null_keys": ["order_date", "ship_date"],
+    "dim_date_build": ["full_date"],
+    "dim_date_ensure": ["full_date"],
+    "vds_main": ["order_date"],
+    "vds_recommendations": ["recommendation_date"],
+    "chart_recommendations": ["recommendation_date"],
+    "chart_annual_trend": ["order_date"],
+    "chart_segment_quarter": ["order_date"],
+}
+
+
+def _text_dates(key: str, body: str) -> str:
+    cols = TEXT_DATES.get(key)
+    if not cols:
+        return body
+    casts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({casts}) FROM ({body})"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {k: with_prefix(v) for k, v in BODIES.items()}
+    return {k: with_prefix(_text_dates(k, v)) for k, v in BODIES.items()}

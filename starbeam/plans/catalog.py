@@ -38,11 +38,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def publishable(df: DataFrame) -> DataFrame:
-    """DECIMAL columns as DOUBLE (values are rounded where the query rounds)."""
-    return df.select(
-        *[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
-          for f in df.schema.fields]
-    )
+    """Results as compared with the SQL oracle: DECIMAL as DOUBLE (values are
+    rounded where the query rounds), DATE and TIMESTAMP as ISO text (the same
+    characters in every client, whatever it converts dates to)."""
+    def out(f):
+        if isinstance(f.dataType, T.DecimalType):
+            return F.col(f.name).cast("double").alias(f.name)
+        if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return F.col(f.name).cast("string").alias(f.name)
+        return F.col(f.name)
+
+    return df.select(*[out(f) for f in df.schema.fields])
 
 
 _SIDE: dict[tuple[str, str], str] = {}
