@@ -31,11 +31,23 @@ from ..sources.star_store import MARKERS, read_star
 from ..warehouse import FIXTURE_LOAD_DATE, Fixture, fixture
 from . import golden as GQ
 from . import reports as AR
-from .metrics import CHARTS, NAMED_METRICS, metric_query
+from .metrics import CHARTS, metric_query
 from .star import vds_discount, vds_main, vds_recommendations
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# registered key of each saved metric (M1-M8)
+METRIC_KEYS = {
+    "total_revenue": "metric_total_revenue",
+    "total_profit": "metric_total_profit",
+    "profit_margin_pct": "metric_profit_margin_pct",
+    "total_quantity": "metric_total_quantity",
+    "avg_order_value": "metric_avg_order_value",
+    "revenue_after_discount": "metric_net_revenue",
+    "total_discount_impact": "metric_discount_impact",
+    "order_count": "metric_order_count",
+}
+
 
 def publishable(df: DataFrame) -> DataFrame:
     """Results as compared with the SQL oracle: DECIMAL as DOUBLE (values are
@@ -272,11 +284,7 @@ def _queries() -> dict[str, Query]:
     q["vds_discount"] = _star(vds_discount)
     q["vds_recommendations"] = _star(vds_recommendations)
     # metric layer and charts
-    for name in NAMED_METRICS:
-        key = "metric_" + {"total_revenue": "total_revenue", "total_profit": "total_profit",
-                           "profit_margin_pct": "profit_margin_pct", "total_quantity": "total_quantity",
-                           "avg_order_value": "avg_order_value", "revenue_after_discount": "net_revenue",
-                           "total_discount_impact": "discount_impact", "order_count": "order_count"}[name]
+    for name, key in METRIC_KEYS.items():
         q[key] = _star(lambda s, _n=name: metric_query(s, metrics=[_n]))
     for k, fn in CHARTS.items():
         q[k] = _star(fn)
