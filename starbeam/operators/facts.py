@@ -94,12 +94,25 @@ def load_facts(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return existing.select(*FACT_COLUMNS).unionByName(new_facts(existing, incoming))
 
 
+def empty_facts(spark) -> DataFrame:
+    """A fact table with no rows (the state before the first load)."""
+    return spark.createDataFrame(
+        [],
+        "order_line_key long, row_id long, order_id string, order_date_key int, ship_date_key int, "
+        "ship_mode_key long, customer_key long, geography_key long, product_key long, sales decimal(12,4), "
+        "quantity int, discount decimal(5,4), profit decimal(12,4), revenue_after_discount decimal(12,4)",
+    )
+
+
 def new_facts(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """E15b, only the added rows: incoming rows with an unseen ``row_id``, keyed
-    after the largest loaded ``order_line_key``."""
+    after the largest loaded ``order_line_key``.  Incoming rows sharing a
+    ``row_id`` keep one, the first in (row_id, other columns) order, as an
+    insert that skips conflicts keeps the first."""
     empty = existing.limit(0).select(*FACT_COLUMNS)
-    added = upsert_ignore(empty, _unseen(existing, incoming), ["row_id"], key_col="order_line_key",
-                          order_col="row_id")
+    rest = [c for c in FACT_COLUMNS if c not in ("order_line_key", "row_id")]
+    unseen = _unseen(existing, incoming).withColumn("_ord", F.struct("row_id", *rest))
+    added = upsert_ignore(empty, unseen, ["row_id"], key_col="order_line_key", order_col="_ord")
     offset = existing.agg(F.coalesce(F.max("order_line_key"), F.lit(0))).scalar()
     return added.withColumn("order_line_key", F.col("order_line_key") + offset).select(*FACT_COLUMNS)
 

@@ -55,7 +55,8 @@ def build_star(clean: DataFrame) -> Star:
 
         clean = add_date_keys(clean)
     dims = build_dimensions(clean)
-    facts = X.number_facts(X.project_facts(X.resolve_keys(clean, dims)))
+    # the first load is an insert into an empty fact table: a repeated row_id keeps one row
+    facts = X.new_facts(X.empty_facts(clean.sparkSession), X.project_facts(X.resolve_keys(clean, dims)))
     return Star(fact_orders=facts, **dims)
 
 

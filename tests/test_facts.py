@@ -71,3 +71,10 @@ def test_fact_load_appends_new_rows_after_max_key(spark, star):
     keys = sorted(r.order_line_key for r in both.select("order_line_key").collect())
     assert keys == list(range(1, n + 1))
     assert both.filter((F.col("row_id") <= 100) & (F.col("order_line_key") > 100)).count() == 0
+
+
+def test_repeated_row_id_keeps_one_row(spark):
+    df = rows(spark, [{"row_id": 5, "order_id": "B"}, {"row_id": 5, "order_id": "A"}, {"row_id": 6}])
+    star = build_star(df)
+    got = sorted((r.order_line_key, r.row_id, r.order_id) for r in star.fact_orders.collect())
+    assert got == [(1, 5, "A"), (2, 6, "O1")]
