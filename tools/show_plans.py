@@ -39,6 +39,13 @@ def main() -> None:
         print("```\n")
     print("## date_filter (F4)\n\nYear 1996: the fact scan carries the YYYYMMDD bounds as pushed filters.\n\n```")
     print(date_filter(star, year=1996)._jdf.queryExecution().executedPlan().toString().rstrip())
+    print("```\n")
+    from starbeam.operators.audit import audit_foreign_keys
+
+    print("## audit_foreign_keys (D3)\n\nAll six fact keys in two passes: distinct (key, value) pairs against the "
+          "dimension keys, then a semi join on the orphan values.\n\n```")
+    print(audit_foreign_keys({k: v for k, v in star.tables().items() if k != "dim_product_recommendations"})
+          ._jdf.queryExecution().executedPlan().toString().rstrip())
     print("```")
 
 
