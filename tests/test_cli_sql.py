@@ -37,3 +37,19 @@ def test_cli_load_twice_is_idempotent(spark, fx, capsys):
     assert main(["query", "kpi_total", "--star", root]) == 0
     assert main(["sql", "SELECT COUNT(*) AS n FROM fact_orders", "--star", root]) == 0
     assert "total_revenue" in capsys.readouterr().out
+
+
+def test_cli_recommend_same_day_twice_adds_nothing(spark, fx):
+    from starbeam.sources.star_store import read_star
+
+    src = new_path(spark, "cli-csv2")
+    write_orders_csv(raw_orders(fx.flat), src)
+    root = new_path(spark, "cli-star2")
+    assert main(["load", "--csv", src, "--star", root]) == 0
+    pairs = new_path(spark, "cli-pairs")
+    fx.pairs.write.option("header", True).csv(pairs)
+    args = ["recommend", "--report", fx.report_path, "--pairs", pairs, "--star", root, "--date", "2026-06-22"]
+    assert main(args) == 0
+    first = read_star(spark, root).dim_product_recommendations.count()
+    assert main(args) == 0
+    assert read_star(spark, root).dim_product_recommendations.count() == first > 0
