@@ -10,6 +10,7 @@ from .common import table
 from .decontam import contamination
 from .minhash import near_duplicates
 from .mixing import mix_sources
+from .pii import personal_data
 from .quality import quality_scores
 from .tokens import token_counts
 
@@ -26,6 +27,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_mix_sources": op2_mix_sources,
     "op3_token_counts": op3_token_counts,
+    "op6_personal_data": op6_personal_data,
     "op7_near_duplicates": op7_near_duplicates,
     "op10_decontamination": op10_decontamination,
 }
