@@ -15,6 +15,8 @@ the data's.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,12 +116,12 @@ def words_covered(windows: Column) -> Column:
     return let(F.array_sort(F.transform(windows, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), covered)
 
 
-def base_counts(docs: DataFrame) -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed added."""
+def base_counts(docs: DataFrame, id_columns: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed beside the named columns of ``docs``."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^ \t\n\x0B\f\r]"))
-    out = docs.withColumn("_w", words(F.col("text"))).select(
-        *[F.col(c) for c in docs.columns],
+    out = docs.select(*id_columns, "text", words(F.col("text")).alias("_w")).select(
+        *id_columns,
         F.size("_w").cast("long").alias("n_words"),
         F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
         (F.size(F.split(text, r"[#*$%&|<>]")) - 1).cast("long").alias("n_symbols"),
@@ -133,17 +135,31 @@ def base_counts(docs: DataFrame) -> DataFrame:
         "base_failed", (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30))
 
 
+def scored(docs: DataFrame, labels: DataFrame, id_columns: Sequence[str], threshold: float, buckets: int,
+           smoothing: float, trusted_rows: int) -> DataFrame:
+    weights = ngram_weights(docs, labels, buckets, smoothing, trusted_rows)
+    out = docs.select(*id_columns, "text", weights.alias("_weights"))  # a subquery can't stand inside a lambda
+    out = out.select(*id_columns, "text", score(F.col("text"), F.col("_weights"), buckets).alias("llr"))
+    out = base_counts(out, [*id_columns, "llr"])
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= F.lit(threshold)))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS,
                    smoothing: float = SMOOTHING, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
-    """Base counts, ``llr`` (the score) and ``kept`` for every row of ``docs`` (doc_id, text; others are dropped).
+    """Base counts, ``llr`` (the score) and ``kept`` for every row of ``docs`` (doc_id, text); other columns are not read.
 
     A null or empty text has no words, fails the base rule and is not kept.
     Equal rows get equal results; an empty table gives an empty result; a
     null doc_id is never trusted.  Without labels the ratio keeps everything
     that passes the base rule.
     """
-    weights = ngram_weights(docs, labels, buckets, smoothing, trusted_rows)
-    scored = docs.select("doc_id", "text", weights.alias("_weights"))  # a subquery can't stand inside a lambda
-    scored = scored.select("doc_id", "text", score(F.col("text"), F.col("_weights"), buckets).alias("llr"))
-    scored = base_counts(scored)
-    return scored.drop("text").withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= F.lit(threshold)))
+    return scored(docs, labels, ["doc_id"], threshold, buckets, smoothing, trusted_rows)
+
+
+def quality_filter(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS,
+                   smoothing: float = SMOOTHING, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+    """The rows of ``docs`` that ``quality_scores`` keeps, with all their columns."""
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
+    whole = docs.select("doc_id", "text", row)
+    kept = scored(whole, labels, ["_row"], threshold, buckets, smoothing, trusted_rows).filter("kept")
+    return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
