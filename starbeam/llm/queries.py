@@ -15,6 +15,7 @@ from .mixing import mix_sources
 from .pii import personal_data
 from .quality import quality_scores
 from .tokens import token_counts
+from .warc import archive_pages
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +30,16 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    # the table has no capture times: one second a page
+    seconds = F.coalesce("page_id", F.lit(0)) % 1_000_000_000
+    time = F.date_format(F.timestamp_seconds(F.lit(1_600_000_000) + seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    index = archive_pages(pages.withColumn("time", time))
+    return index.select(F.expr("try_cast(page AS BIGINT)").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                        F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
@@ -57,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_mix_sources": op2_mix_sources,
     "op3_token_counts": op3_token_counts,
+    "op5_warc": op5_warc,
     "op6_personal_data": op6_personal_data,
     "op7_near_duplicates": op7_near_duplicates,
     "op9_chat_format": op9_chat_format,
@@ -65,6 +77,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL by query, where SQL can express the operator
 ORACLE_SQL: dict[str, str] = {
+    "op5_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS n, sha1(html) AS h FROM p),
+        r AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS last FROM d)
+        SELECT page_id, n AS payload_bytes, h AS payload_digest,
+               CASE WHEN n >= 1000 AND last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND last <> page_id THEN last END AS refers_to
+        FROM r""",
     "op9_chat_format": r"""
         WITH rows AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
