@@ -14,6 +14,9 @@ from ..session import work_dir
 SPACE_RUN = r"[ \t\n\x0B\f\r]+"
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path of the shared folder that ``spark.checkpoint.dir`` names."""
     return f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
@@ -27,7 +30,13 @@ def frozen(df: DataFrame, name: str) -> DataFrame:
     """
     spark, schema = df.sparkSession, df.schema
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    # once written, the shuffle files behind the table are of no use
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
     return spark.read.schema(schema).parquet(path)
 
 

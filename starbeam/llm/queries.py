@@ -14,6 +14,7 @@ from .minhash import near_duplicates
 from .mixing import mix_sources
 from .pii import personal_data
 from .quality import quality_scores
+from .substring import dedup_substrings
 from .tokens import token_counts
 from .warc import archive_pages
 
@@ -48,6 +49,10 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 #: a conversation of control strings, formatted with the others
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
 
@@ -71,12 +76,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op6_personal_data": op6_personal_data,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_decontamination": op10_decontamination,
 }
 
 #: DuckDB SQL by query, where SQL can express the operator
 ORACLE_SQL: dict[str, str] = {
+    "op8_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents),
+        win AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s
+                FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+        again AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+        gone AS (SELECT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM win SEMI JOIN again USING (s)) GROUP BY doc_id, p),
+        per_doc AS (SELECT doc_id, count(*) AS n_removed, sum(CASE WHEN new THEN 1 ELSE 0 END) AS n_spans, list(p) AS ps
+                    FROM (SELECT doc_id, p, p - 1 IS DISTINCT FROM lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS new FROM gone) GROUP BY doc_id),
+        kept AS (
+            SELECT k.doc_id, string_agg(k.word, ' ' ORDER BY k.p) AS t
+            FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) k ANTI JOIN gone g ON k.doc_id = g.doc_id AND k.p = g.p
+            GROUP BY k.doc_id)
+        SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_removed, 0) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+               sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN per_doc USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op5_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS n, sha1(html) AS h FROM p),
