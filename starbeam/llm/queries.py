@@ -15,6 +15,7 @@ from .mixing import mix_sources
 from .pii import personal_data
 from .quality import quality_scores
 from .substring import dedup_substrings
+from .suffix import dedup_suffixes
 from .tokens import token_counts
 from .warc import archive_pages
 
@@ -31,6 +32,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_suffixes(table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     # the table has no capture times: one second a page
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_mix_sources": op2_mix_sources,
     "op3_token_counts": op3_token_counts,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_warc": op5_warc,
     "op6_personal_data": op6_personal_data,
     "op7_near_duplicates": op7_near_duplicates,
