@@ -80,27 +80,24 @@ def main(argv: list[str] | None = None) -> int:
         print("\n".join(sorted(STAR_QUERIES)))
         return 0
     spark = _session()
-    from .sources.star_store import publish_increment, publish_star, read_star
+    from .sources.star_store import publish_increment, publish_recommendations, publish_star, published, read_star
 
     if args.cmd == "load":
         from .operators.clean import clean_orders_observed
         from .plans.star import build_star, increment
-        from .session import new_path
+        from .session import written
         from .sources.csv import read_orders_csv
 
         clean, raw_obs, kept_obs = clean_orders_observed(read_orders_csv(spark, args.csv))
         # the clean record is written once; the reject counts arrive with that job
-        path = new_path(spark, "clean")
-        clean.write.parquet(path)
-        print({**raw_obs.get, **kept_obs.get})
-        clean = spark.read.parquet(path)
-        try:
-            star = read_star(spark, args.star)
-        except FileNotFoundError:
-            print(publish_star(build_star(clean), args.star))
-            return 0
-        dims, new_facts = increment(star, clean)
-        print(publish_increment(star.with_(**dims), new_facts, args.star))
+        with written(clean, "clean") as rows:
+            print({**raw_obs.get, **kept_obs.get})
+            if published(spark, args.star) is None:
+                print(publish_star(build_star(rows), args.star))
+            else:
+                star = read_star(spark, args.star)
+                dims, new_facts = increment(star, rows)
+                print(publish_increment(star.with_(**dims), new_facts, args.star))
         return 0
     star = read_star(spark, args.star)
     if args.cmd == "recommend":
@@ -111,7 +108,7 @@ def main(argv: list[str] | None = None) -> int:
         day = _dt.date.fromisoformat(args.date) if args.date else _dt.date.today()
         new = load_recommendations(spark, star, read_report_lines(spark, args.report),
                                    read_recommendations(spark, args.pairs), day)
-        print(publish_star(new, args.star))
+        print(publish_recommendations(new, args.star))
         return 0
     if args.cmd == "query":
         _show(STAR_QUERIES[args.name](star), args.rows)

@@ -1,8 +1,8 @@
 """Dimension building from the clean order-line record.
 
 "First row wins" is decided by the smallest ``row_id`` (source file order),
-with ``min_by`` so the choice is deterministic and partially aggregated
-before the shuffle (a hot natural key collapses map-side).  Surrogate keys
+so the choice is deterministic; a hash aggregate collapses a hot natural key
+before the shuffle.  Surrogate keys
 follow first appearance, as a SERIAL column filled in file order would.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .clean import date_key
@@ -22,14 +22,16 @@ ORDER_COL = "row_id"
 
 def first_rows(df: DataFrame, keys: Sequence[str], attrs: Sequence[str], order_col: str = ORDER_COL) -> DataFrame:
     """One row per ``keys``: the attributes of the row with the smallest ``order_col``,
-    plus that row's position as ``_first_row``."""
+    plus that row's position as ``_first_row`` (equal positions: the smallest attributes).
+
+    A hash aggregate first reduces the rows to the different (keys, attributes),
+    about the size of the dimension, before the shuffle; only those are ordered.
+    """
+    seen = df.groupBy(*keys, *attrs).agg(F.min(order_col).alias("_first_row"))
+    first = Window.partitionBy(*keys).orderBy("_first_row", *attrs)
     return (
-        df.groupBy(*keys)
-        .agg(
-            F.min_by(F.struct(*[F.col(a) for a in attrs]), F.col(order_col)).alias("_first"),
-            F.min(order_col).alias("_first_row"),
-        )
-        .select(*keys, *[F.col(f"_first.{a}").alias(a) for a in attrs], "_first_row")
+        seen.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
+        .select(*keys, *attrs, "_first_row")
     )
 
 

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..schema import FACT_COLUMNS, MONEY, RATE
 from .numbering import assign_surrogate_keys
-from .upsert import upsert_ignore
 
 GEO_KEY = ["postal_code", "city", "state"]
 
@@ -109,12 +108,10 @@ def new_facts(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     after the largest loaded ``order_line_key``.  Incoming rows sharing a
     ``row_id`` keep one, the first in (row_id, other columns) order, as an
     insert that skips conflicts keeps the first."""
-    empty = existing.limit(0).select(*FACT_COLUMNS)
     rest = [c for c in FACT_COLUMNS if c not in ("order_line_key", "row_id")]
-    unseen = _unseen(existing, incoming).withColumn("_ord", F.struct("row_id", *rest))
-    added = upsert_ignore(empty, unseen, ["row_id"], key_col="order_line_key", order_col="_ord")
-    offset = existing.agg(F.coalesce(F.max("order_line_key"), F.lit(0))).scalar()
-    return added.withColumn("order_line_key", F.col("order_line_key") + offset).select(*FACT_COLUMNS)
+    after = existing.agg(F.coalesce(F.max("order_line_key"), F.lit(0)) + 1).scalar()
+    added = assign_surrogate_keys(_unseen(existing, incoming), ["row_id"], "order_line_key", start=after, unique=rest)
+    return added.select(*FACT_COLUMNS)
 
 
 def _unseen(existing: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -30,6 +30,7 @@ def assign_surrogate_keys(
     key_col: str = "key",
     start: int | Column = 1,
     num_partitions: int | None = None,
+    unique: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``key_col``: 0-gap numbers ``start, start+1, ...`` in ``order_cols`` order.
 
@@ -37,6 +38,10 @@ def assign_surrogate_keys(
     ``F.col("x").desc()``, and should form a total order (ties are numbered in an arbitrary
     but stable order).  ``start`` may be a literal or a one-row column
     expression such as ``max(existing_key) + 1`` passed as a Column.
+
+    With ``unique``, rows that share the first order column (a name) keep one,
+    the first in the order of those columns; the range partitioning already
+    has them together, so this costs no further shuffle.
     """
     spark = df.sparkSession
     # names sort ascending; Columns keep the direction the caller gave them
@@ -46,9 +51,12 @@ def assign_surrogate_keys(
     # on a cluster) keeps the written table split into that many files
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(num_partitions, *order)
+    if unique is not None:
+        same = Window.partitionBy(order_cols[0]).orderBy(*unique)
+        dealt = dealt.withColumn("_sb_n", F.row_number().over(same)).filter("_sb_n = 1").drop("_sb_n")
     (
-        df.repartitionByRange(num_partitions, *order)
-        .sortWithinPartitions(*order)
+        dealt.sortWithinPartitions(*order)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id())
         .write.parquet(path)

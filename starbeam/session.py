@@ -11,8 +11,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -44,13 +46,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; sets a local one only where
-    it is unset (tests, local bench).
+    Uses the cluster's ``spark.checkpoint.dir``; where it is unset, a local
+    master (tests, local bench) gets a private folder, and any other is refused:
+    a machine-local folder would scatter written tables over the executors.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if not d:
             d = tempfile.mkdtemp(prefix="starbeam-ckpt-", dir=os.environ.get("STARBEAM_SCRATCH", "/tmp"))
         sc.setCheckpointDir(d)
@@ -62,3 +67,24 @@ def new_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared work folder."""
     base = work_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared work folder, through the file system it is on."""
+    base = work_dir(spark).rstrip("/") + "/"
+    if not path.startswith(base):
+        raise ValueError(f"{path} is not in the work folder {base}")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def written(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written to the work folder and read back, for as long as the block runs."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_path(spark, path)

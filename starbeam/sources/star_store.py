@@ -7,10 +7,16 @@ Layout under ``root``::
 
 A version becomes visible only when its marker is appended, after every
 table is written and the audits (D1-D4) found nothing.  Readers take the
-newest published version, so they never see dimensions without their facts
+highest published version, so they never see dimensions without their facts
 or a half-written table; a failed load leaves an unpublished folder behind
 and changes nothing.  Task retries after a lost executor rewrite the same
-files through Spark's output committer.
+files through Spark's output committer.  A version's name begins with its
+number, one more than the version it was built on, so no clock decides which
+is newest.
+
+Only a missing folder reads as "nothing published" or "no such table"; any
+other failure to read stops the load, which would otherwise publish a batch
+as if it were the whole star.
 
 Facts are append-only: a full load writes the whole fact table, an
 incremental load (``publish_increment``) writes only its new fact rows and
@@ -21,9 +27,9 @@ version (copy-on-write).  One writer per ``root`` is assumed.
 
 from __future__ import annotations
 
-import datetime as _dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +37,7 @@ from ..operators.audit import audit_all
 from ..plans.star import Star
 
 MARKERS = "_published"
+MARKER_SCHEMA = "version string, published_at timestamp, fact_parts array<string>"
 MAX_RECORDS_PER_FILE = 20_000_000
 
 
@@ -38,15 +45,28 @@ class AuditFailed(RuntimeError):
     pass
 
 
-def _new_version() -> str:
-    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
+def _next_version(spark: SparkSession, root: str) -> str:
+    """The name of the version after the newest published one."""
+    row = published(spark, root)
+    number = int(row.version.split("-")[0]) + 1 if row else 1
+    return f"{number:012d}-{uuid.uuid4().hex[:8]}"
+
+
+def _if_there(read) -> DataFrame | None:
+    """What ``read()`` gives, or None where its folder does not exist."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
-def write_tables(star: Star, root: str, version: str) -> dict[str, str]:
+def write_tables(star: Star, root: str, version: str, skip: tuple[str, ...] = ()) -> dict[str, str]:
     """Write each table once (dimensions first, then facts)."""
     paths = {}
     tables = star.tables()
-    for name in sorted(tables, key=lambda t: (t == "fact_orders", t)):
+    for name in sorted(set(tables) - set(skip), key=lambda t: (t == "fact_orders", t)):
         df = tables[name]
         if name == "fact_orders":
             # clustered on the order date inside each file: row-group min/max
@@ -70,26 +90,23 @@ def _path(root: str, version: str, name: str) -> str:
 def read_version(spark: SparkSession, root: str, version: str, fact_parts: list[str] | None = None) -> Star:
     found = {n: spark.read.parquet(_path(root, version, n)) for n in DIMENSIONS}
     for n in OPTIONAL:
-        try:
-            found[n] = spark.read.parquet(_path(root, version, n))
-        except Exception:  # table not part of this version
-            pass
+        df = _if_there(lambda n=n: spark.read.parquet(_path(root, version, n)))
+        if df is not None:
+            found[n] = df
     found["fact_orders"] = spark.read.parquet(*[_path(root, p, "fact_orders") for p in (fact_parts or [version])])
     return Star(**found)
 
 
-def _markers(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/{MARKERS}")
+def markers(spark: SparkSession, root: str) -> DataFrame | None:
+    """One row per published version; None where nothing was ever published."""
+    return _if_there(lambda: spark.read.schema(MARKER_SCHEMA).parquet(f"{root.rstrip('/')}/{MARKERS}"))
 
 
 def published(spark: SparkSession, root: str):
-    """(version, fact_parts, batch_id) of the newest published version, or None."""
-    try:
-        m = _markers(spark, root)
-    except Exception:  # nothing published yet
-        return None
+    """(version, fact_parts) of the newest published version, or None."""
+    m = markers(spark, root)
     # one small row per published version
-    return m.orderBy(F.col("version").desc()).select("version", "fact_parts", "batch_id").first()
+    return None if m is None else m.orderBy(F.col("version").desc()).select("version", "fact_parts").first()
 
 
 def published_version(spark: SparkSession, root: str) -> str:
@@ -106,29 +123,27 @@ def _audit_or_fail(tables: dict[str, DataFrame], version: str) -> None:
         raise AuditFailed(f"star {version} not published: {[r.asDict() for r in problems]}")
 
 
-def _mark(spark: SparkSession, root: str, version: str, parts: list[str], batch_id: int | None) -> None:
+def _mark(spark: SparkSession, root: str, version: str, parts: list[str]) -> None:
     marker = spark.range(1).select(
         F.lit(version).alias("version"),
         F.current_timestamp().alias("published_at"),
         F.array(*[F.lit(p) for p in parts]).alias("fact_parts"),
-        F.lit(batch_id).cast("long").alias("batch_id"),
     )
     marker.write.mode("append").parquet(f"{root.rstrip('/')}/{MARKERS}")
 
 
-def publish_star(star: Star, root: str, audit: bool = True, batch_id: int | None = None) -> str:
+def publish_star(star: Star, root: str, audit: bool = True) -> str:
     """Write every table, audit, then publish; returns the version name."""
     spark = star.fact_orders.sparkSession
-    version = _new_version()
+    version = _next_version(spark, root)
     write_tables(star, root, version)
     if audit:
         _audit_or_fail(read_version(spark, root, version).tables(), version)
-    _mark(spark, root, version, [version], batch_id)
+    _mark(spark, root, version, [version])
     return version
 
 
-def publish_increment(star: Star, new_facts: DataFrame, root: str, audit: bool = True,
-                      batch_id: int | None = None) -> str:
+def publish_increment(star: Star, new_facts: DataFrame, root: str, audit: bool = True) -> str:
     """E16 for an incremental load: dimensions of ``star`` in full, only
     ``new_facts`` as the fact folder of this version.
 
@@ -139,12 +154,27 @@ def publish_increment(star: Star, new_facts: DataFrame, root: str, audit: bool =
     spark = new_facts.sparkSession
     base = published(spark, root)
     if base is None:
-        return publish_star(star.with_(fact_orders=new_facts), root, audit, batch_id)
-    version = _new_version()
+        return publish_star(star.with_(fact_orders=new_facts), root, audit)
+    version = _next_version(spark, root)
     write_tables(star.with_(fact_orders=new_facts), root, version)
     if audit:
         _audit_or_fail(read_version(spark, root, version).tables(), version)
-    _mark(spark, root, version, [*base.fact_parts, version], batch_id)
+    _mark(spark, root, version, [*base.fact_parts, version])
+    return version
+
+
+def publish_recommendations(star: Star, root: str, audit: bool = True) -> str:
+    """A version with the dimensions and recommendations of ``star`` on the facts already published: none is rewritten."""
+    spark = star.dim_date.sparkSession
+    base = published(spark, root)
+    if base is None:
+        raise FileNotFoundError(f"no published star under {root}")
+    version = _next_version(spark, root)
+    write_tables(star, root, version, skip=("fact_orders",))
+    if audit:
+        tables = read_version(spark, root, version, list(base.fact_parts)).tables()
+        _audit_or_fail({**tables, "fact_orders": tables["fact_orders"].limit(0)}, version)
+    _mark(spark, root, version, list(base.fact_parts))
     return version
 
 

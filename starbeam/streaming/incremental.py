@@ -7,10 +7,11 @@ cleaning, E12/E13 dimension upserts, E14/E15 fact rows, E15b insert-if-absent
 -- and publishes a new star version that appends only the batch's new fact
 rows (``publish_increment``).
 
-Exactly once: the stream's checkpoint records which files each batch read;
-a batch replayed after a failure re-applies an increment that is idempotent
-(existing row ids and keys are skipped, upserts write the same values), and
-a batch whose id is already recorded in the star's markers is skipped.
+Exactly once: the stream's checkpoint records which files each batch read,
+and the load itself is idempotent (existing row ids and keys are skipped,
+upserts write the same values), so a batch that is replayed after a failure
+changes nothing.  Batch ids play no part: they start again with every new
+checkpoint.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import clean_orders
 from ..plans.star import build_star, increment
+from ..session import written
 from ..sources.csv import LATIN1, decode_orders, order_csv_schema
-from ..sources.star_store import _markers, publish_increment, publish_star, read_star
+from ..sources.star_store import publish_increment, publish_star, published, read_star
 
 
 def order_file_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -38,24 +40,17 @@ def order_file_stream(spark: SparkSession, source_dir: str, max_files_per_trigge
     return reader.csv(source_dir).withColumn("_file", F.col("_metadata.file_path"))
 
 
-def _already_loaded(spark: SparkSession, star_root: str, batch_id: int) -> bool:
-    try:
-        return _markers(spark, star_root).filter(F.col("batch_id") == batch_id).limit(1).count() > 0
-    except Exception:  # nothing published yet
-        return False
+def load_batch(spark: SparkSession, batch: DataFrame, star_root: str) -> str:
+    """One incremental load of a (static) batch of raw CSV rows into the star at ``star_root``; returns the version.
 
-
-def load_batch(spark: SparkSession, batch: DataFrame, star_root: str, batch_id: int | None = None) -> str | None:
-    """One incremental load of a (static) batch of raw CSV rows into the star at ``star_root``."""
-    if batch_id is not None and _already_loaded(spark, star_root, batch_id):
-        return None
-    clean = clean_orders(decode_orders(batch))
-    try:
+    The clean rows are written once; every dimension and the fact read that copy.
+    """
+    with written(clean_orders(decode_orders(batch)), "clean") as clean:
+        if published(spark, star_root) is None:
+            return publish_star(build_star(clean), star_root)
         star = read_star(spark, star_root)
-    except FileNotFoundError:
-        return publish_star(build_star(clean), star_root, batch_id=batch_id)
-    dims, new_facts = increment(star, clean)
-    return publish_increment(star.with_(**dims), new_facts, star_root, batch_id=batch_id)
+        dims, new_facts = increment(star, clean)
+        return publish_increment(star.with_(**dims), new_facts, star_root)
 
 
 def start_incremental_load(
@@ -69,7 +64,7 @@ def start_incremental_load(
     """Start the stream; ``available_now`` loads what is there and stops."""
     writer = (
         order_file_stream(spark, source_dir)
-        .writeStream.foreachBatch(lambda df, epoch: load_batch(spark, df, star_root, epoch))
+        .writeStream.foreachBatch(lambda df, epoch: load_batch(spark, df, star_root))
         .option("checkpointLocation", checkpoint_location)
     )
     if available_now:
