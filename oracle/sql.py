@@ -139,6 +139,10 @@ CTES = {
         {DATEKEY('ship_date')} AS ship_date_key, trim(customer_id, {WS}) AS customer_id,
         trim(product_id, {WS}) AS product_id, trim(ship_mode, {WS}) AS ship_mode,
         trim(postal_code, {WS}) AS postal_code FROM kept""",
+    "loaded": f"""SELECT CAST(row_id AS BIGINT) AS row_id, order_id, order_date, ship_date,
+        trim(ship_mode, {WS}) AS ship_mode, trim(customer_id, {WS}) AS customer_id, trim(product_id, {WS}) AS product_id,
+        category, state, region, city, trim(postal_code, {WS}) AS postal_code,
+        CAST(sales AS DECIMAL(12,4)) AS sales, CAST(profit AS DECIMAL(12,4)) AS profit FROM kept""",
     "rej": """SELECT COUNT(*) AS distinct_rows,
         COUNT(*) FILTER (WHERE order_date IS NULL) AS null_order_date,
         COUNT(*) FILTER (WHERE ship_date IS NULL) AS null_ship_date,
@@ -436,14 +440,26 @@ BODIES: dict[str, str] = {
         UNION ALL
         SELECT (SELECT COUNT(*) FROM fact WHERE order_date_key < 19950601) + row_number() OVER (ORDER BY row_id),
         row_id, order_id FROM fact WHERE order_date_key >= 19950601""",
-    "publish_atomic": """SELECT CAST(1 AS BIGINT) AS published_versions, 1 AS fact_parts,
-        COUNT(*) AS fact_rows FROM fact""",
+    "publish_atomic": """SELECT '1 first load' AS step, CAST(1 AS BIGINT) AS versions, COUNT(*) AS fact_rows FROM b1
+        UNION ALL SELECT '2 increment', 2, COUNT(*) FROM flat UNION ALL SELECT '3 orphans refused', 2, COUNT(*) FROM flat""",
     "load_summary": _union([
-        *[f"SELECT '{t}' AS item, CAST(COUNT(*) AS BIGINT) AS n FROM {STAR_CTE[t]}" for t in TABLE_ORDER],
+        "SELECT 'dim_date' AS item, COUNT(*) AS n FROM (SELECT order_date FROM loaded UNION SELECT ship_date FROM loaded)",
+        "SELECT 'dim_customer' AS item, COUNT(DISTINCT customer_id) AS n FROM loaded",
+        "SELECT 'dim_geography' AS item, COUNT(*) AS n FROM (SELECT DISTINCT postal_code, city, state FROM loaded)",
+        "SELECT 'dim_product' AS item, COUNT(DISTINCT product_id) AS n FROM loaded",
+        "SELECT 'dim_ship_mode' AS item, COUNT(DISTINCT ship_mode) AS n FROM loaded",
+        "SELECT 'fact_orders' AS item, COUNT(DISTINCT row_id) AS n FROM loaded",
         "SELECT 'dropped_rows' AS item, dropped_rows AS n FROM rej",
         "SELECT 'duplicate_rows' AS item, (SELECT COUNT(*) FROM raw) - distinct_rows AS n FROM rej",
-        "SELECT 'skipped_rows' AS item, CAST(0 AS BIGINT) AS n",
+        # rows of the load without a dimension row: each key is in the same rows, so only a NULL can miss
+        """SELECT 'skipped_rows' AS item, COUNT(*) AS n FROM loaded
+           WHERE customer_id IS NULL OR product_id IS NULL OR ship_mode IS NULL OR city IS NULL OR state IS NULL""",
     ]),
+    "csv_load_category_margin": f"""SELECT category, {MONEY('SUM(sales)')} AS total_revenue, {MONEY('SUM(profit)')} AS total_profit,
+        {MARGIN} AS profit_margin_pct FROM loaded GROUP BY category""",
+    "csv_load_loss_states": f"""SELECT state, region, {MONEY('SUM(sales)')} AS total_revenue, {MONEY('SUM(profit)')} AS total_profit,
+        COUNT(DISTINCT order_id) AS order_count FROM loaded GROUP BY state, region HAVING SUM(profit) < 0""",
+    "metric_daily_revenue": """SELECT order_date, CAST(SUM(sales) AS DOUBLE) AS total_revenue FROM flat GROUP BY order_date""",
     "audit_not_null": _audit_not_null(),
     "audit_unique": _audit_unique(),
     "audit_foreign_keys": _audit_fk(),
@@ -542,9 +558,12 @@ BODIES: dict[str, str] = {
     "chart_recommendations": V3,
     # reports
     "top_products_report": f"SELECT {REPORT_COLS} FROM ranking WHERE revenue_rank <= 10",
-    "discount_destruction": f"""SELECT * FROM (SELECT *, CAST(RANK() OVER (ORDER BY total_revenue DESC NULLS LAST,
-        category, sub_category) AS BIGINT) AS revenue_rank FROM ({GQ06}))
-        WHERE avg_discount_pct > 20 AND profit_margin_pct < 0""",
+    "discount_destruction": f"""SELECT * EXCLUDE (d, m) FROM (SELECT category, sub_category,
+        {RND(AVG('discount') + ' * 100', 2)} AS avg_discount_pct, {MONEY('SUM(sales)')} AS total_revenue,
+        {MONEY('SUM(profit)')} AS total_profit, {MARGIN} AS profit_margin_pct,
+        CAST(RANK() OVER (ORDER BY SUM(sales) DESC NULLS LAST, category, sub_category) AS BIGINT) AS revenue_rank,
+        {AVG('discount')} AS d, {RATIO('SUM(profit)', 'SUM(sales)')} AS m
+        FROM flat GROUP BY category, sub_category) WHERE d > 0.2 AND m < 0""",
     "clearance_signature": f"""SELECT revenue_rank, product_id, product_name, category, sub_category,
         {MONEY('revenue')} AS total_revenue, units_sold, {MONEY('profit')} AS total_profit,
         {PCT('profit', 'revenue', 1)} AS profit_margin_pct, {RND('avg_price', 2)} AS avg_price
@@ -557,8 +576,7 @@ BODIES: dict[str, str] = {
         {MONEY('revenue')} AS total_revenue, units_sold, {MONEY('profit')} AS total_profit,
         {PCT('profit', 'revenue', 2)} AS profit_margin_pct FROM prod_tot
         WHERE revenue > 0 AND abs(CAST(profit AS DOUBLE)) <= 0.005 * CAST(revenue AS DOUBLE)""",
-    "loss_making_top_n": f"""SELECT * FROM (SELECT {REPORT_COLS} FROM ranking WHERE revenue_rank <= 10)
-        WHERE total_profit < 0""",
+    "loss_making_top_n": f"SELECT {REPORT_COLS} FROM ranking WHERE revenue_rank <= 10 AND profit < 0",
     "top_n_mix": f"""SELECT category, sub_category, COUNT(*) AS product_count, {MONEY('SUM(revenue)')} AS total_revenue,
         {MONEY('SUM(profit)')} AS total_profit, {PCT('SUM(profit)', 'SUM(revenue)')} AS profit_margin_pct
         FROM ranking WHERE revenue_rank <= 10 GROUP BY category, sub_category""",
@@ -619,6 +637,7 @@ TEXT_DATES = {
     "vds_recommendations": ["recommendation_date"],
     "chart_recommendations": ["recommendation_date"],
     "chart_annual_trend": ["order_date"],
+    "metric_daily_revenue": ["order_date"],
     "chart_segment_quarter": ["order_date"],
 }
 

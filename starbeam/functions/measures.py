@@ -44,8 +44,8 @@ def round_to(x: str | Column, scale: int) -> Column:
 
 
 def money(x: str | Column) -> Column:
-    """a money amount (DECIMAL sum) rounded to cents, as DOUBLE."""
-    return F.round(_c(x), 2).cast("double")
+    """a money amount (DECIMAL sum) rounded to cents; it stays DECIMAL, so no total loses its cents or ties by rounding."""
+    return F.round(_c(x), 2)
 
 
 def pct(num: str | Column, den: str | Column, scale: int = 2) -> Column:

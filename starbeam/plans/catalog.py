@@ -27,12 +27,12 @@ from ..operators.upsert import upsert_ignore, upsert_update
 from ..session import new_path
 from ..sources import csv as CSV
 from ..sources.fixture import BATCH_CUTOFF, LINEITEM_COLUMNS, order_batches, raw_orders, table
-from ..sources.star_store import MARKERS, read_star
+from ..sources.star_store import AuditFailed, markers, publish_increment, publish_star, read_star
 from ..warehouse import FIXTURE_LOAD_DATE, Fixture, fixture
 from . import golden as GQ
 from . import reports as AR
 from .metrics import CHARTS, metric_query
-from .star import vds_discount, vds_main, vds_recommendations
+from .star import Star, build_star, vds_discount, vds_main, vds_recommendations
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -150,7 +150,7 @@ def _e13(fx: Fixture) -> DataFrame:
 
 
 def _incremental(fx: Fixture) -> DataFrame:
-    from .star import apply_increment, build_star
+    from .star import apply_increment
 
     first, second = order_batches(fx.flat)
     star = apply_increment(build_star(first), second)
@@ -174,19 +174,48 @@ def _e15b(fx: Fixture) -> DataFrame:
 
 
 def _e16(fx: Fixture) -> DataFrame:
-    """Published versions, and the fact as a reader sees it through the newest marker."""
-    markers = fx.spark.read.parquet(f"{fx.star_root}/{MARKERS}")
-    newest = read_star(fx.spark, fx.star_root).fact_orders
-    return markers.agg(
-        F.count(F.lit(1)).alias("published_versions"),
-        F.max_by(F.size("fact_parts"), "version").alias("fact_parts"),
-    ).withColumn("fact_rows", newest.agg(F.count(F.lit(1))).scalar())
+    """What a reader sees after a first load, an increment, and a load that the audits refuse."""
+    from .star import increment
+
+    root = new_path(fx.spark, "publish-star")
+    first, second = order_batches(fx.flat)
+    steps = []
+
+    def seen(step: str) -> None:
+        versions = markers(fx.spark, root).count()
+        steps.append((step, versions, read_star(fx.spark, root).fact_orders.count()))
+
+    publish_star(build_star(first), root)
+    seen("1 first load")
+    star = read_star(fx.spark, root)
+    dims, added = increment(star, second)
+    publish_increment(star.with_(**dims), added, root)
+    seen("2 increment")
+    star = read_star(fx.spark, root)
+    orphans = star.fact_orders.withColumns({"row_id": -F.col("row_id"), "product_key": F.lit(-1).cast("long")})
+    try:
+        publish_increment(star, orphans, root)
+        seen("3 orphans published")
+    except AuditFailed:
+        seen("3 orphans refused")
+    return fx.spark.createDataFrame(steps, "step string, versions long, fact_rows long")
+
+
+def _csv_clean(fx: Fixture) -> DataFrame:
+    """The clean record of the raw CSV files, written once."""
+    path = _written(fx, "csv-clean", lambda p: CL.clean_orders(_raw_csv(fx)).write.parquet(p))
+    return fx.spark.read.parquet(path)
+
+
+def _csv_star(fx: Fixture) -> Star:
+    """The star loaded from the raw CSV files and published."""
+    return read_star(fx.spark, _written(fx, "csv-star", lambda root: publish_star(build_star(_csv_clean(fx)), root)))
 
 
 def _e17(fx: Fixture) -> DataFrame:
-    star = fx.star
+    star, clean = _csv_star(fx), _csv_clean(fx)
     return FA.load_summary(
-        star.tables(), dropped=CL.reject_counts(_raw(fx)), skipped=FA.skipped_counts(CL.add_date_keys(fx.flat), star.dims())
+        star.tables(), dropped=CL.reject_counts(_raw_csv(fx)), skipped=FA.skipped_counts(clean, star.dims())
     )
 
 
@@ -272,6 +301,9 @@ def _queries() -> dict[str, Query]:
     q["fact_load_idempotent"] = _with_fx(_e15b)
     q["publish_atomic"] = _with_fx(_e16)
     q["load_summary"] = _with_fx(_e17)
+    # the whole load: raw CSV -> S1 -> E1-E5 -> star -> publish
+    q["csv_load_category_margin"] = _with_fx(lambda fx: GQ.category_margin(_csv_star(fx)))
+    q["csv_load_loss_states"] = _with_fx(lambda fx: GQ.loss_states(_csv_star(fx)))
     q["audit_not_null"] = _star(lambda s: AU.audit_not_null(s.tables()))
     q["audit_unique"] = _star(lambda s: AU.audit_unique(s.tables()))
     q["audit_foreign_keys"] = _star(lambda s: AU.audit_foreign_keys(s.tables()))
@@ -286,6 +318,7 @@ def _queries() -> dict[str, Query]:
     # metric layer and charts
     for name, key in METRIC_KEYS.items():
         q[key] = _star(lambda s, _n=name: metric_query(s, metrics=[_n]))
+    q["metric_daily_revenue"] = _star(lambda s: metric_query(s, metrics=["total_revenue"], time_col="order_date", grain="P1D"))
     for k, fn in CHARTS.items():
         q[k] = _star(fn)
     # reports

@@ -15,7 +15,7 @@ Queries with ``COUNT(DISTINCT order_id)`` join first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import avg_of, days, discount_tier, margin_pct, money, pct, round_to, safe_ratio
@@ -111,8 +111,8 @@ def loss_states(star: Star) -> DataFrame:
     )
 
 
-def subcategory_discount(star: Star) -> DataFrame:
-    """GQ-06: average discount and margin per sub-category, lowest margin first."""
+def subcategory_sums(star: Star) -> DataFrame:
+    """Unrounded sums per sub-category: disc and n_disc (discounts and their count), sales, profit."""
     per_product = rollup(
         star.fact_orders, ["product_key"], disc=F.sum("discount"), n_disc=F.count("discount"),
         sales=F.sum("sales"), profit=F.sum("profit"),
@@ -120,16 +120,26 @@ def subcategory_discount(star: Star) -> DataFrame:
     return (
         per_product.join(star.dim_product.select("product_key", "category", "sub_category"), "product_key")
         .groupBy("category", "sub_category")
-        .agg(
-            round_to(safe_ratio(F.sum("disc"), F.sum("n_disc")) * 100, 2).alias("avg_discount_pct"),
-            money(F.sum("sales")).alias("total_revenue"),
-            money(F.sum("profit")).alias("total_profit"),
-            margin_pct().alias("profit_margin_pct"),
-        )
-        .orderBy(F.col("profit_margin_pct").asc_nulls_last(), "category", "sub_category")
+        .agg(*[F.sum(c).alias(c) for c in ("disc", "n_disc", "sales", "profit")])
     )
 
 
+def subcategory_columns() -> list[Column]:
+    """The published measures of ``subcategory_sums``."""
+    return [
+        round_to(safe_ratio("disc", "n_disc") * 100, 2).alias("avg_discount_pct"),
+        money("sales").alias("total_revenue"),
+        money("profit").alias("total_profit"),
+        pct("profit", "sales").alias("profit_margin_pct"),
+    ]
+
+
+def subcategory_discount(star: Star) -> DataFrame:
+    """GQ-06: average discount and margin per sub-category, lowest margin first."""
+    return subcategory_sums(star).select("category", "sub_category", *subcategory_columns()).orderBy(
+        F.col("profit_margin_pct").asc_nulls_last(), "category", "sub_category")
+
+
 def ship_mode_efficiency(star: Star) -> DataFrame:
     """GQ-07: per ship mode: lines, orders, average profit and sales per line, days to ship."""
     order_d = star.dim_date.select(F.col("date_key").alias("order_date_key"), F.col("full_date").alias("_od"))

@@ -100,10 +100,12 @@ class Metric:
     final: Callable[[], Column] | None = None
 
 
-def _sum_metric(name: str, expr: Callable[[], Column], cols, cast: str = "double") -> Metric:
+def _sum_metric(name: str, expr: Callable[[], Column], cols, cast: str | None = None) -> Metric:
+    """A sum, in the type that summing gives (DECIMAL for money) unless ``cast`` names another."""
     part = f"_{name}_sum"
-    return Metric(name, tuple(cols), lambda: F.sum(expr()).cast(cast),
-                  lambda: {part: F.sum(expr())}, lambda: F.sum(part).cast(cast))
+    typed = lambda c: c if cast is None else c.cast(cast)
+    return Metric(name, tuple(cols), lambda: typed(F.sum(expr())),
+                  lambda: {part: F.sum(expr())}, lambda: typed(F.sum(part)))
 
 
 def _ratio_metric(name: str, num: Callable[[], Column], den: Callable[[], Column], den_agg, cols, scale=1.0):
@@ -150,7 +152,7 @@ def adhoc(aggregate: str, column: str, label: str | None = None) -> Metric:
     col = lambda: F.col(column)
     part = f"_{name}_part"
     if agg == "SUM":
-        return _sum_metric(name, col, [column])
+        return _sum_metric(name, col, [column], "double")  # of any column
     if agg == "AVG":
         return _ratio_metric(name, col, col, F.count, [column])
     if agg == "COUNT":
@@ -215,7 +217,9 @@ def _filter(df: DataFrame, dataset: str, subject: str, op: str, value, col: Colu
 
 def _grain(df: DataFrame, time_col: str | None, grain: str | None, keys: list[str]):
     if time_col and grain:
-        # Truncate to the grain; trunc keeps a DATE (date_trunc would give a timestamp)
+        # Truncate to the grain; trunc keeps a DATE (date_trunc would give a timestamp) but knows no days
+        if GRAINS[grain] == "day":
+            return df, [time_col, *keys]
         return df.withColumn(time_col, F.trunc(F.col(time_col), GRAINS[grain])), [time_col, *keys]
     return df, keys
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import TOP_N_RANKING, margin_pct, money, pct, round_to, safe_ratio
 from ..operators.numbering import assign_surrogate_keys
-from .golden import subcategory_discount
+from .golden import subcategory_columns, subcategory_sums
 from .star import Star
 
 
@@ -50,10 +50,13 @@ def _by_revenue():
 def top_products_report(star: Star, n: int = TOP_N_RANKING) -> DataFrame:
     """A1: top ``n`` products by revenue with rank, "Category > Sub-Category",
     units, profit and margin (1 decimal, as the report prints it)."""
+    return _report_columns(_top_products(star, n)).orderBy("revenue_rank")
+
+
+def _top_products(star: Star, n: int) -> DataFrame:
+    """Unrounded totals of the top ``n`` products, ranked; numbering runs over the n kept rows only."""
     top = product_totals(star).orderBy(*_by_revenue()).limit(n)
-    # numbering runs over the n kept rows only
-    ranked = top.withColumn("revenue_rank", F.row_number().over(Window.orderBy(*_by_revenue())).cast("long"))
-    return _report_columns(ranked).orderBy("revenue_rank")
+    return top.withColumn("revenue_rank", F.row_number().over(Window.orderBy(*_by_revenue())).cast("long"))
 
 
 def product_ranking(star: Star) -> DataFrame:
@@ -64,13 +67,13 @@ def product_ranking(star: Star) -> DataFrame:
 
 def discount_destruction(star: Star, min_avg_discount: float = 0.20, max_margin: float = 0.0) -> DataFrame:
     """A2: sub-categories whose average discount is above ``min_avg_discount`` and
-    whose margin is below ``max_margin`` %, with their revenue rank among all
-    sub-categories (one row per sub-category, so the ranking window is small)."""
-    sub = subcategory_discount(star)
-    w = Window.orderBy(F.col("total_revenue").desc_nulls_last(), "category", "sub_category")
+    whose margin is below ``max_margin`` %, both before rounding, with their revenue rank
+    among all sub-categories (one row per sub-category, so the ranking window is small)."""
+    w = Window.orderBy(F.col("sales").desc_nulls_last(), "category", "sub_category")
     return (
-        sub.withColumn("revenue_rank", F.rank().over(w).cast("long"))
-        .filter((F.col("avg_discount_pct") > min_avg_discount * 100) & (F.col("profit_margin_pct") < max_margin))
+        subcategory_sums(star).withColumn("revenue_rank", F.rank().over(w).cast("long"))
+        .filter((safe_ratio("disc", "n_disc") > min_avg_discount) & (safe_ratio("profit", "sales") * 100 < max_margin))
+        .select("category", "sub_category", *subcategory_columns(), "revenue_rank")
         .orderBy("profit_margin_pct", "category", "sub_category")
     )
 
@@ -118,8 +121,8 @@ def break_even_products(star: Star, tolerance: float = 0.0) -> DataFrame:
 
 
 def loss_making_top_n(star: Star, n: int = TOP_N_RANKING) -> DataFrame:
-    """A5: rows of the top-n report with negative profit."""
-    return top_products_report(star, n).filter(F.col("total_profit") < 0).orderBy("revenue_rank")
+    """A5: rows of the top-n report with negative profit (before rounding)."""
+    return _report_columns(_top_products(star, n).filter(F.col("profit") < 0)).orderBy("revenue_rank")
 
 
 def top_n_mix(star: Star, n: int = TOP_N_RANKING) -> DataFrame:
