@@ -18,14 +18,17 @@ exactly; classes are the links' connected components.  No pairs of a whole
 bucket are made.  First, each bucket's texts are compared with its most
 central text only (the one whose buckets are largest), and linked ones are
 merged.  Then the pairs that could still join two classes are compared, all
-of them; few remain, as two texts can reach a similarity only if both have
-enough shingles that any other text has, and texts on the fringe of a group
-have too many of their own.
+of them.  Few remain: two texts that share no rare shingle (one of at most
+``RARE`` texts) have only core shingles in common, and texts on the fringe of
+a group have too few of those; pairs that share a rare shingle are found by
+it, and are at most ``RARE`` for each.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +41,8 @@ from .wordhash import mix, range_hashes, text_bytes, word_spans
 SHINGLE = 5
 BANDS, ROWS = 20, 4
 SIMILARITY = 0.8
+#: a shingle of at most so many open texts is rare
+RARE = 16
 #: bytes of text that one round of signatures works on
 STRETCH = 2 << 20
 
@@ -190,16 +195,27 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     split = labelled.groupBy("band", "key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi")
     mixed = frozen(labelled.join(split.select("band", "key"), ["band", "key"]), "minhash-mixed")
     open_sets = sets.join(mixed.select("rep").distinct(), "rep", "left_semi")
-    single = open_sets.select("rep", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    often = single.groupBy("s").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi").select("s")
-    # of a text's shingles, those that some other open text has: no two texts can have more in common
-    bound = frozen(single.join(often, "s").groupBy("rep").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("most")), "minhash-bounds")
-    able = mixed.join(bound, "rep").filter(F.col("most") >= similarity * F.col("n"))
-    x, y = able.alias("x"), able.alias("y")
-    most = F.least("x.most", "y.most")
-    rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.class") < F.col("y.class"))
-                  & (most >= similarity * (F.col("x.n") + F.col("y.n") - most)))
-    rest = rest.select(F.greatest("x.rep", "y.rep").alias("b"), F.least("x.rep", "y.rep").alias("a")).distinct()
+    single = frozen(open_sets.select("rep", F.size("shingles").alias("n"), F.explode("shingles").alias("s")), "minhash-single")
+    often = frozen(single.groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "minhash-often")
+    # of a text's shingles, how many some other open text has, and how many more than RARE texts have
+    bound = single.join(often, "s").groupBy("rep").agg(
+        F.first("n").alias("n"), F.count(F.lit(1)).alias("most"), F.sum(F.when(F.col("df") > RARE, 1).otherwise(0)).alias("core"))
+    named = mixed.select("rep", "class").distinct()
+    able = frozen(bound.filter(F.col("most") >= similarity * F.col("n")).join(named, "rep"), "minhash-able")
+
+    def pairs(rows: DataFrame, on: list[str], most: str) -> DataFrame:
+        """Pairs of two classes that meet in ``on`` and could have enough in common, by the count ``most``."""
+        x, y = rows.alias("x"), rows.alias("y")
+        meet = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in on]
+        common = F.least(f"x.{most}", f"y.{most}")
+        fits = common >= similarity * (F.col("x.n") + F.col("y.n") - common)
+        both = x.join(y, reduce(and_, [*meet, F.col("x.class") < F.col("y.class"), fits]))
+        return both.select(F.greatest("x.rep", "y.rep").alias("b"), F.least("x.rep", "y.rep").alias("a"))
+
+    # two texts share a rare shingle, or have only core ones in common
+    rare = single.select("rep", "s").join(often.filter(F.col("df") <= RARE).select("s"), "s").join(able, "rep")
+    central_pairs = mixed.drop("class").join(able.filter(F.col("core") >= similarity * F.col("n")), "rep")
+    rest = pairs(rare, ["s"], "most").union(pairs(central_pairs, ["band", "key"], "core")).distinct()
     more = similar_pairs(rest, sets, similarity)
     final = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
