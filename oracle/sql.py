@@ -150,6 +150,19 @@ CTES = {
         COUNT(*) FILTER (WHERE product_id IS NULL) AS null_product_id,
         COUNT(*) FILTER (WHERE order_date IS NULL OR ship_date IS NULL OR customer_id IS NULL
                          OR product_id IS NULL) AS dropped_rows FROM parsed""",
+    # a star with faults of every kind
+    "bad_date": "SELECT * REPLACE (CASE WHEN day = 13 THEN NULL ELSE month_name END AS month_name) FROM dim_date_full",
+    "bad_customer": """SELECT * REPLACE (CASE WHEN customer_key % 7 = 0 THEN NULL ELSE segment END AS segment,
+        CASE WHEN customer_key % 9 = 0 THEN repeat('x', 101) ELSE customer_name END AS customer_name) FROM dim_customer
+        UNION ALL SELECT * FROM dim_customer WHERE customer_key % 11 = 0""",
+    "bad_product": """SELECT * REPLACE (CASE WHEN product_key % 13 = 0 THEN repeat('y', 51) ELSE category END AS category)
+        FROM dim_product WHERE product_key % 17 <> 0""",
+    "bad_fact": """SELECT * REPLACE (CASE WHEN row_id % 53 = 0 THEN NULL ELSE order_id END AS order_id,
+        CASE WHEN row_id % 101 = 0 THEN -1 ELSE ship_mode_key END AS ship_mode_key,
+        CASE WHEN row_id % 103 = 0 THEN NULL ELSE geography_key END AS geography_key) FROM fact
+        UNION ALL SELECT * FROM fact WHERE row_id % 1000 = 1""",
+    "bad_recs": """SELECT * REPLACE (CASE WHEN recommendation_key % 5 = 0 THEN recommendation_score + 2
+        WHEN recommendation_key % 5 = 1 THEN -0.5 ELSE recommendation_score END AS recommendation_score) FROM recs""",
     "b1": "SELECT * FROM flat WHERE order_date < DATE '1995-06-01'",
     "b2": "SELECT * REPLACE (upper(customer_name) AS customer_name) FROM flat WHERE order_date >= DATE '1995-06-01'",
     "c1": FIRST_DIM("b1", ["customer_id"], ["customer_name", "segment"], "customer_key", "customer_id IS NOT NULL"),
@@ -252,27 +265,27 @@ def _union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def _audit_not_null() -> str:
+def _audit_not_null(cte: dict[str, str] = STAR_CTE) -> str:
     parts = []
     for t in TABLE_ORDER:
         for c in NOT_NULL[t]:
             parts.append(f"SELECT '{t}' AS table_name, '{c}' AS item, "
-                         f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n FROM {STAR_CTE[t]}")
+                         f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n FROM {cte[t]}")
     return _union(parts)
 
 
-def _audit_unique() -> str:
+def _audit_unique(cte: dict[str, str] = STAR_CTE) -> str:
     parts = []
     for t in TABLE_ORDER:
         for key in UNIQUE_KEYS[t]:
             k = ", ".join(key)
             parts.append(f"SELECT '{t}' AS table_name, '{','.join(key)}' AS item, "
                          f"CAST(COUNT(*) FILTER (WHERE c > 1) AS BIGINT) AS n FROM "
-                         f"(SELECT {k}, COUNT(*) AS c FROM {STAR_CTE[t]} GROUP BY {k})")
+                         f"(SELECT {k}, COUNT(*) AS c FROM {cte[t]} GROUP BY {k})")
     return _union(parts)
 
 
-def _audit_fk() -> str:
+def _audit_fk(cte: dict[str, str] = STAR_CTE) -> str:
     checks = [("fact_orders", FOREIGN_KEYS), ("dim_product_recommendations", [
         ("product_key", "dim_product", "product_key"),
         ("recommended_product_key", "dim_product", "product_key"),
@@ -282,24 +295,30 @@ def _audit_fk() -> str:
         for col, dim, key in fks:
             parts.append(f"SELECT '{t}' AS table_name, '{col}->{dim}' AS item, "
                          f"CAST(COUNT(*) FILTER (WHERE f.{col} IS NOT NULL AND d.{key} IS NULL) AS BIGINT) AS n "
-                         f"FROM {STAR_CTE[t]} f LEFT JOIN (SELECT DISTINCT {key} FROM {STAR_CTE[dim]}) d "
+                         f"FROM {cte[t]} f LEFT JOIN (SELECT DISTINCT {key} FROM {cte[dim]}) d "
                          f"ON f.{col} = d.{key}")
     return _union(parts)
 
 
-def _audit_checks() -> str:
+def _audit_checks(cte: dict[str, str] = STAR_CTE) -> str:
     parts = []
     for t in TABLE_ORDER:
         for c, n in MAX_LENGTHS.get(t, {}).items():
             parts.append(f"SELECT '{t}' AS table_name, 'len({c})<={n}' AS item, "
-                         f"CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS n FROM {STAR_CTE[t]}")
+                         f"CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS n FROM {cte[t]}")
         if t == "dim_product_recommendations":
             parts.append(f"SELECT '{t}' AS table_name, 'recommendation_score between 0 and 1' AS item, "
                          "CAST(COUNT(*) FILTER (WHERE recommendation_score < 0 OR recommendation_score > 1) "
-                         "AS BIGINT) AS n FROM recs")
+                         f"AS BIGINT) AS n FROM {cte[t]}")
     return _union(parts)
 
 
+def _audit_all(cte: dict[str, str]) -> str:
+    """The four audits, with their names, over another set of tables."""
+    named = [("not_null", _audit_not_null), ("unique", _audit_unique), ("foreign_key", _audit_fk), ("check", _audit_checks)]
+    return _union([f"SELECT '{name}' AS audit, * FROM ({audit(cte)})" for name, audit in named])
+
+
 def _counts(items: list[tuple[str, str]]) -> str:
     return _union([f"SELECT '{name}' AS table_name, CAST(COUNT(*) AS BIGINT) AS n FROM {cte}" for name, cte in items])
 
@@ -464,6 +483,8 @@ BODIES: dict[str, str] = {
     "audit_unique": _audit_unique(),
     "audit_foreign_keys": _audit_fk(),
     "audit_checks": _audit_checks(),
+    "audit_faulty_star": _audit_all({**STAR_CTE, "dim_date": "bad_date", "dim_customer": "bad_customer", "dim_product": "bad_product",
+                                     "fact_orders": "bad_fact", "dim_product_recommendations": "bad_recs"}),
     # golden queries
     "kpi_total": f"""SELECT {MONEY('SUM(sales)')} AS total_revenue, {MONEY('SUM(profit)')} AS total_profit,
         {MARGIN} AS profit_margin_pct FROM fact""",

@@ -51,12 +51,10 @@ def audit_unique(tables: dict[str, DataFrame]) -> DataFrame:
 def audit_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
     """D3: fact rows (and recommendation rows) whose key is not in the dimension.
 
-    All key columns of a table are checked together in two passes over it:
-    (key name, value) pairs, made distinct map-side (so bounded by the
-    dimensions' sizes, not the fact's), minus every dimension's keys gives the
-    orphan values; then only rows holding an orphan value are counted (a semi
-    join whose build side is the orphan set, normally empty).  The fact is
-    never shuffled whole.
+    One pass over the bare key column for each key: its values are counted
+    map-side, so a shuffle carries different values only, and values that the
+    dimension lacks remain (a small dimension is broadcast by Spark, a large
+    one joins on the partitioning of the counts).
     """
     parts = []
     checks = {"fact_orders": FOREIGN_KEYS}
@@ -67,20 +65,12 @@ def audit_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
             ("date_key", "dim_date", "date_key"),
         ]
     for t, fks in checks.items():
-        f = tables[t]
-        names = [f"{col}->{dim}" for col, dim, _ in fks]
-        pairs = f.select(
-            F.explode(F.array(*[F.struct(F.lit(n).alias("fk"), F.col(col).cast("long").alias("v"))
-                                for n, (col, _, _) in zip(names, fks)])).alias("p")
-        ).select("p.fk", "p.v").dropna()
-        keys = _union([tables[dim].select(F.lit(n).alias("fk"), F.col(key).cast("long").alias("v"))
-                       for n, (_, dim, key) in zip(names, fks)])
-        orphans = pairs.distinct().join(keys, ["fk", "v"], "left_anti")
-        counts = pairs.join(orphans, ["fk", "v"], "left_semi").groupBy("fk").agg(F.count(F.lit(1)).alias("n"))
-        labels = f.sparkSession.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("fk"))
-        parts.append(labels.join(counts, "fk", "left").select(
-            F.lit(t).alias("table_name"), F.col("fk").alias("item"), F.coalesce("n", F.lit(0)).cast("long").alias("n")
-        ))
+        for col, dim, key in fks:
+            value = F.col(col).cast("long").alias("v")
+            held = tables[t].filter(F.col(col).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+            orphans = held.join(tables[dim].select(F.col(key).cast("long").alias("v")), "v", "left_anti")
+            parts.append(orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
+                F.lit(t).alias("table_name"), F.lit(f"{col}->{dim}").alias("item"), "n"))
     return _union(parts)
 
 

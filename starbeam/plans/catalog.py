@@ -219,6 +219,27 @@ def _e17(fx: Fixture) -> DataFrame:
     )
 
 
+def _faulty(star: Star) -> Star:
+    """The star with faults of every kind that the audits look for, by a fixed rule."""
+    def spoil(df: DataFrame, column: str, where, value=None) -> DataFrame:
+        return df.withColumn(column, F.when(where, F.lit(value)).otherwise(F.col(column)))
+
+    customer, facts, recs = star.dim_customer, star.fact_orders, star.dim_product_recommendations
+    key, row = F.col("customer_key"), F.col("row_id")
+    bad_customer = spoil(spoil(customer, "segment", key % 7 == 0), "customer_name", key % 9 == 0, "x" * 101)
+    bad_facts = spoil(spoil(facts, "order_id", row % 53 == 0), "ship_mode_key", row % 101 == 0, -1)
+    bad_facts = spoil(bad_facts, "geography_key", row % 103 == 0)
+    rec, score = F.col("recommendation_key"), F.col("recommendation_score")
+    return star.with_(
+        dim_date=spoil(star.dim_date, "month_name", F.col("day") == 13),
+        dim_customer=bad_customer.union(customer.filter(key % 11 == 0)),
+        dim_product=spoil(star.dim_product, "category", F.col("product_key") % 13 == 0, "y" * 51).filter("product_key % 17 <> 0"),
+        fact_orders=bad_facts.union(facts.filter(row % 1000 == 1)),
+        dim_product_recommendations=recs.withColumn(
+            "recommendation_score", F.when(rec % 5 == 0, score + 2).when(rec % 5 == 1, F.lit(-0.5)).otherwise(score)),
+    )
+
+
 def _f4(fx: Fixture) -> DataFrame:
     return (
         date_filter(fx.star, year=1996)
@@ -308,6 +329,7 @@ def _queries() -> dict[str, Query]:
     q["audit_unique"] = _star(lambda s: AU.audit_unique(s.tables()))
     q["audit_foreign_keys"] = _star(lambda s: AU.audit_foreign_keys(s.tables()))
     q["audit_checks"] = _star(lambda s: AU.audit_checks(s.tables()))
+    q["audit_faulty_star"] = _star(lambda s: AU.audit_all(_faulty(s).tables()))
     # golden queries
     for k, fn in GQ.GOLDEN.items():
         q[k] = _star(fn)

@@ -87,3 +87,24 @@ def test_observed_reject_counts_match_the_aggregate(spark):
     assert m["raw_rows"] == r.raw_rows and m["distinct_rows"] == r.raw_rows - r.duplicate_rows
     assert (m["null_order_date"], m["null_customer_id"], m["null_product_id"]) == (
         r.null_order_date, r.null_customer_id, r.null_product_id)
+
+
+def test_byte_order_mark_and_missing_column(spark, fx):
+    import pytest
+
+    from starbeam.schema import SOURCE_HEADERS
+    from starbeam.session import new_path
+    from starbeam.sources.csv import read_orders_csv
+    from starbeam.sources.fixture import raw_orders
+
+    back = {v: k for k, v in SOURCE_HEADERS.items()}
+    raw = raw_orders(fx.flat.filter("row_id <= 3"))
+    names, lines = [back.get(c, c) for c in raw.columns], [",".join("" if v is None else v for v in r) for r in raw.collect()]
+    whole = new_path(spark, "bom")
+    text = "\ufeff" + ",".join(names) + "\n" + "\n".join(lines)
+    spark.createDataFrame([(text,)], "t string").coalesce(1).write.text(whole)
+    assert sorted(r.row_id for r in read_orders_csv(spark, whole).collect()) == ["1", "2", "3"]
+    partial = new_path(spark, "partial")
+    raw.select(*[F.col(c).alias(back.get(c, c)) for c in raw.columns if c != "sales"]).write.option("header", True).csv(partial)
+    with pytest.raises(ValueError, match="sales"):
+        read_orders_csv(spark, partial)

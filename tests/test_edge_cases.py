@@ -1,5 +1,6 @@
 """Small hand-built stars for the corner cases of the business queries."""
 
+import datetime as dt
 from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
@@ -72,3 +73,23 @@ def test_numbering_matches_row_number_property(spark, pairs):
     got = assign_surrogate_keys(df, ["a", F.col("b").desc()], "k", num_partitions=3)
     want = df.withColumn("k", F.row_number().over(Window.orderBy("a", F.col("b").desc())).cast("long"))
     assert got.exceptAll(want).count() == 0
+
+
+def test_reports_filter_before_rounding(spark):
+    from starbeam.plans import reports as AR
+
+    lines = [{"row_id": i, "order_id": f"O{i}", "discount": Decimal("0.2000") + (Decimal("0.0004") if i == 1 else 0), "sales": Decimal("10.0000"),
+              "profit": Decimal("-0.0004")} for i in range(1, 11)]
+    star = build_star(rows(spark, lines))
+    hit = AR.discount_destruction(star).collect()  # 20.004 % on average, a loss of 0.004
+    assert [(r.avg_discount_pct, r.profit_margin_pct, r.total_profit) for r in hit] == [(20.0, -0.0, 0)]
+    lost = AR.loss_making_top_n(star).collect()
+    assert [r.total_profit for r in lost] == [0]
+    star = build_star(rows(spark, [{**x, "discount": Decimal("0.2000"), "profit": Decimal("0.0000")} for x in lines]))
+    assert AR.discount_destruction(star).count() == AR.loss_making_top_n(star).count() == 0
+
+
+def test_daily_grain(spark):
+    star = build_star(rows(spark, [{"row_id": 1}, {"row_id": 2, "order_date": dt.date(2016, 1, 5)}, {"row_id": 3, "order_date": dt.date(2016, 1, 5)}]))
+    got = metric_query(star, metrics=["total_revenue"], time_col="order_date", grain="P1D").collect()
+    assert {(r.order_date, int(r.total_revenue)) for r in got} == {(dt.date(2016, 1, 4), 10), (dt.date(2016, 1, 5), 20)}
