@@ -36,7 +36,7 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "2"))
     from starbeam.plans.catalog import QUERIES
     from starbeam.session import local_session
-    from starbeam.warehouse import fixture
+    from starbeam.warehouse import STAGE_SECONDS, fixture
 
     spark = local_session(cores=cpus, shuffle_partitions=max(8, cpus * 2), app="starbeam-bench")
     t0 = time.time()
@@ -58,6 +58,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "load_sec": round(load, 3),
+        "load_stages": {k: round(v, 3) for s in STAGE_SECONDS.values() for k, v in s.items()},
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
         "spark": spark.version,

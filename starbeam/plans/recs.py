@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import recs as R
 from ..operators.dims import ensure_date
-from ..session import new_path
-from ..sources.fixture import recommendation_pairs
-from ..sources.report import read_report_lines, render_report, write_report
+from ..sources.report import render_report, write_report
 from .reports import product_ranking
 from .star import Star
 
@@ -60,14 +58,3 @@ def load_recommendations(
         existing = R.empty_recommendations(spark)
     return star.with_(dim_date=dim_date, dim_product_recommendations=R.load_recommendations(existing, resolved))
 
-
-def fixture_report(spark: SparkSession, star: Star, generated: _dt.date) -> DataFrame:
-    """Write the fixture report for ``star`` to the work folder and read it back (S2, by lines)."""
-    path = write_product_report(star, new_path(spark, "report"), generated)
-    return read_report_lines(spark, path)
-
-
-def load_recommendations_from_fixture(spark: SparkSession, sf_dir: str, star: Star, load_date: _dt.date) -> Star:
-    reports = fixture_report(spark, star, load_date)
-    return load_recommendations(spark, star, reports, recommendation_pairs(spark, sf_dir), load_date)
-

@@ -2,7 +2,7 @@
 
 ``build_star`` runs E6-E11, E14, E15 on a clean order-line record.  The
 resulting DataFrames are lazy except for the surrogate numbering, which
-checkpoints once per keyed table.  ``starbeam.sources.star_store`` writes and
+writes each keyed table once.  ``starbeam.sources.star_store`` writes and
 publishes a star; queries read the published copy.
 """
 
