@@ -198,7 +198,13 @@ def metric_query(
     Sorted by the first metric (descending unless ``order_desc`` is False),
     group keys breaking ties; ``row_limit`` keeps the first rows."""
     ms = [NAMED_METRICS[m] if isinstance(m, str) else m for m in metrics]
-    if all(m.parts is not None for m in ms):
+    star = _bounded(star, dataset, filters)
+    spec = DATASETS[dataset]
+    used = [spec.get(c, ("fact", c))[0] for c in [*groupby, *[f[0] for f in filters], *([time_col] if time_col else [])]]
+    # the fact on one foreign key is no larger than that dimension; on several keys, or on a key and
+    # a fact column, it comes near its own size, and joining first sends only the final groups
+    few = len(set(used) - {"fact"}) + sum(spec.get(c, ("fact", c))[0] == "fact" for c in groupby) <= 1
+    if few and all(m.parts is not None for m in ms):
         out, keys = _rolled(star, dataset, ms, list(groupby), list(filters), time_col, grain)
     else:
         out, keys = _direct(star, dataset, ms, list(groupby), list(filters), time_col, grain)
@@ -208,6 +214,22 @@ def metric_query(
     return out.limit(row_limit) if row_limit is not None else out
 
 
+def _bounded(star: Star, dataset: str, filters) -> Star:
+    """The star with the key range of filters on the order year on its fact, so that they reach the scan."""
+    fact = star.fact_orders
+    for subject, op, value in filters:
+        if DATASETS[dataset].get(subject) != ("dim_date", "year"):
+            continue
+        years = sorted(value) if op.upper() == "IN" else [value]
+        low = {"==": 0, "IN": 0, ">=": 0, ">": 1}.get(op.upper())
+        high = {"==": 0, "IN": 0, "<=": 0, "<": -1}.get(op.upper())
+        if years and low is not None:
+            fact = fact.filter(F.col("order_date_key") >= (years[0] + low) * 10000)
+        if years and high is not None:
+            fact = fact.filter(F.col("order_date_key") < (years[-1] + high + 1) * 10000)
+    return star.with_(fact_orders=fact)
+
+
 def _filter(df: DataFrame, dataset: str, subject: str, op: str, value, col: Column) -> DataFrame:
     if dataset == "discount" and subject == "discount_tier" and op == "==":
         # same rows as testing the CASE label, but prunable row groups
@@ -252,6 +274,14 @@ def _rolled(star, dataset, ms, groupby, filters, time_col, grain):
             src = spec[subject][1] or "discount"
             col = discount_tier(F.col("discount"), "ascii") if subject == "discount_tier" else F.col(src)
             fact = _filter(fact, dataset, subject, op, value, col)
+    held = {}
+    for subject, op, value in filters:
+        t, src = spec[subject]
+        if t != "fact":  # rows of the fact that the filter drops are not rolled up
+            held[t] = _filter(held.get(t, star.tables()[t]), dataset, subject, op, value, F.col(src))
+    for t, dim in held.items():
+        fk, pk = _JOIN_KEY[t]
+        fact = fact.join(dim.select(F.col(pk).alias(fk)), fk, "left_semi")
     fact_keys = []
     for c in groupby:
         if spec[c][0] == "fact":
@@ -266,9 +296,6 @@ def _rolled(star, dataset, ms, groupby, filters, time_col, grain):
         own = [c for c in dict.fromkeys(wanted) if spec[c][0] == t]
         roll = roll.join(star.tables()[t].select(F.col(pk).alias(fk), *[F.col(spec[c][1]).alias(c) for c in own]),
                          fk)
-    for subject, op, value in filters:
-        if spec[subject][0] != "fact":
-            roll = _filter(roll, dataset, subject, op, value, F.col(subject))
     roll, keys = _grain(roll, time_col, grain, groupby)
     aggs = [m.final().alias(m.name) for m in ms]
     return (roll.groupBy(*keys).agg(*aggs) if keys else roll.agg(*aggs)), keys

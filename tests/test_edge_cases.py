@@ -75,6 +75,17 @@ def test_numbering_matches_row_number_property(spark, pairs):
     assert got.exceptAll(want).count() == 0
 
 
+def test_year_filter_reaches_the_fact_scan(star):
+    from starbeam.plans import metrics as M
+
+    for op, value in (("==", 1996), ("IN", [1995, 1997]), (">", 1995), ("<=", 1994), ("!=", 1996)):
+        got = metric_query(star, metrics=["total_revenue"], groupby=["order_quarter"], filters=[("order_year", op, value)])
+        plain, _ = M._direct(star, "main", [M.NAMED_METRICS["total_revenue"]], ["order_quarter"], [("order_year", op, value)], None, None)
+        assert got.exceptAll(plain).count() == 0 and got.count() == plain.count()
+    plan = metric_query(star, filters=[("order_year", "==", 1996)])._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(order_date_key,19960000)" in plan and "LessThan(order_date_key,19970000)" in plan
+
+
 def test_reports_filter_before_rounding(spark):
     from starbeam.plans import reports as AR
 
