@@ -42,7 +42,7 @@ SHINGLE = 5
 BANDS, ROWS = 20, 4
 SIMILARITY = 0.8
 #: a shingle of at most so many open texts is rare
-RARE = 16
+RARE = 128
 #: bytes of text that one round of signatures works on
 STRETCH = 2 << 20
 
