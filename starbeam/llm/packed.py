@@ -16,6 +16,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,7 @@ LAST = int(np.iinfo(np.int64).max)
 #: bytes of text whose positions share a bucket
 BUCKET_BYTES = 6 << 20
 
+#: ``data`` holds the bytes compressed, ``at`` the texts' offsets in them
 BATCHES = "batch long, data binary, at binary, ord binary, n binary, content binary"
 #: most texts of a batch, so that a text's number in it takes two bytes
 BATCH_TEXTS = 60_000
@@ -75,7 +77,8 @@ def text_batches(docs: DataFrame, size: int = BATCH_BYTES) -> DataFrame:
         def row() -> pa.RecordBatch:
             nonlocal serial, total
             at = np.cumsum([0, *(len(t) for _, t, _, _ in held)], dtype=np.int64)
-            columns = [serial, b"".join(t for _, t, _, _ in held), at.tobytes(), np.array([x[2] for x in held], np.int64).tobytes(),
+            data = zstandard.ZstdCompressor(level=1).compress(b"".join(t for _, t, _, _ in held))
+            columns = [serial, data, at.tobytes(), np.array([x[2] for x in held], np.int64).tobytes(),
                        np.array([x[3] for x in held], np.int64).tobytes(), b"".join(c for c, _, _, _ in held)]
             serial, total = serial + 1, 0
             held.clear()
@@ -109,7 +112,9 @@ def batch_of(row: dict) -> Batch:
     order = nums("ord")
     num = np.zeros(len(order), dtype=np.int64)
     num[1:] = np.cumsum((order[1:] != order[:-1]) | (order[1:] == LAST))
-    return Batch(row["batch"], np.frombuffer(row["data"], dtype=np.uint8), nums("at"), order, nums("n"), row["content"], num)
+    at = nums("at")
+    data = zstandard.ZstdDecompressor().decompress(row["data"], max_output_size=max(int(at[-1]), 1))
+    return Batch(row["batch"], np.frombuffer(data, dtype=np.uint8), at, order, nums("n"), row["content"], num)
 
 
 def over_batches(batches: DataFrame, work: Callable[..., Iterator[pa.RecordBatch]], schema: str, *replies: DataFrame) -> DataFrame:
@@ -123,7 +128,7 @@ def over_batches(batches: DataFrame, work: Callable[..., Iterator[pa.RecordBatch
         for part in stream:
             for i in range(part.num_rows):
                 row = {c: part.column(c)[i].as_py() for c in part.schema.names}
-                positions = [np.sort(np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in row[f"pos{k}"] or []] or
+                positions = [np.sort(np.concatenate([undeltas(x) for x in row[f"pos{k}"] or []] or
                                                     [np.zeros(0, np.uint32)])).astype(np.int64) for k in range(n)]
                 yield from work(batch_of(row), *positions)
 
@@ -133,31 +138,40 @@ def over_batches(batches: DataFrame, work: Callable[..., Iterator[pa.RecordBatch
 def packs(batch: Batch, key: np.ndarray, pos: np.ndarray, buckets: int, low: np.ndarray | None = None, exact: bool = True) -> pa.RecordBatch:
     """One pack per bucket: what is known of positions ``pos`` (ascending) with hash ``key``.
 
-    ``exact`` sends the hash's 64 bits, ``low`` (16 more) and the text's number;
-    otherwise 32 bits of the hash go, for a first sieve.
+    ``exact`` sends 56 bits (32 of the hash, 24 of ``low``, which with the bucket
+    make 60 and more) and the text's number; otherwise 32 bits go, for a first sieve.
     """
     where = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     order = np.argsort(where.astype(np.uint16) if buckets < 65536 else where, kind="stable")
     cuts = np.concatenate([[0], np.cumsum(np.bincount(where, minlength=buckets))])
-    sent = key[order] if exact else key[order].astype(np.uint32)
-    pos = pos[order]
-    text = batch.num[np.searchsorted(batch.at, pos, side="right") - 1].astype(np.uint16) if exact else None
-    low = None if low is None else low[order].astype(np.uint16)
+    sent, pos = key[order].astype(np.uint32), pos[order].astype(np.uint32)
+    if exact:
+        text = batch.num[np.searchsorted(batch.at, pos, side="right") - 1].astype(np.uint16)
+        low = low[order].astype(np.uint32)
     rows: list[list] = [[], [], [], [], [], []]
     for b in np.flatnonzero(np.diff(cuts)).tolist():
         s = slice(cuts[b], cuts[b + 1])
-        values = (b, batch.id, sent[s].tobytes(), None if low is None else low[s].tobytes(), deltas(pos[s].astype(np.uint32)),
-                  None if text is None else text[s].tobytes())
+        extra = (low[s].view(np.uint8).reshape(-1, 4)[:, :3].tobytes(), planes(np.diff(text[s], prepend=np.uint16(0)))) if exact else (None, None)
+        values = (b, batch.id, sent[s].tobytes(), extra[0], deltas(pos[s]), extra[1])
         for column, v in zip(rows, values, strict=True):
             column.append(v)
     return record(PACKS, rows)
 
 
+def planes(values: np.ndarray) -> bytes:
+    """16-bit numbers as all low bytes, then all high ones, which the shuffle's compression shrinks."""
+    return values.astype(np.uint16).view(np.uint8).reshape(-1, 2).T.tobytes()
+
+
+def unplanes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(2, -1).T).view(np.uint16).reshape(-1)
+
+
 def deltas(pos: np.ndarray) -> bytes:
     """Ascending positions as 16-bit steps where all fit, else as they are (told apart by their first byte)."""
     step = np.diff(pos, prepend=np.uint32(0))
     if len(step) and int(step[1:].max(initial=0)) < 65536:
-        return b"\2" + pos[:1].tobytes() + step[1:].astype(np.uint16).tobytes()
+        return b"\2" + pos[:1].tobytes() + planes(step[1:])
     return b"\4" + pos.tobytes()
 
 
@@ -165,22 +179,25 @@ def undeltas(data: bytes) -> np.ndarray:
     if data[0] == 4:
         return np.frombuffer(data, dtype=np.uint32, offset=1)
     first = np.frombuffer(data, dtype=np.uint32, count=1, offset=1)
-    return np.cumsum(np.concatenate([first, np.frombuffer(data, dtype=np.uint16, offset=5)]), dtype=np.int64).astype(np.uint32)
+    return np.cumsum(np.concatenate([first, unplanes(data[5:])]), dtype=np.int64).astype(np.uint32)
 
 
 def answered(sent: DataFrame, decide: Callable[..., np.ndarray], exact: bool = True) -> DataFrame:
     """Each bucket's ``decide`` says which of its positions count; they go back to their batches.
 
-    It gets (key) of a first sieve, else (key, low, rank), where ranks ascend
-    with the texts' ids and texts of one id share a rank.
+    It gets (key) of a first sieve, else (key, rank), where ranks ascend with the
+    texts' ids and texts of one id share a rank.
     """
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         gathered = lambda c, kind: np.concatenate([np.frombuffer(r[c], dtype=kind) for r in rows])
         if exact:
             index = {b: i for i, b in enumerate(sorted({r["batch"] for r in rows}))}
-            rank = np.concatenate([np.frombuffer(r["text"], dtype=np.uint16).astype(np.int64) + (index[r["batch"]] << 16) for r in rows])
-            yes = decide(gathered("key", np.uint64), gathered("low", np.uint16), rank)
+            numbers = [np.cumsum(unplanes(r["text"]), dtype=np.int64) for r in rows]
+            rank = np.concatenate([n + (index[r["batch"]] << 16) for n, r in zip(numbers, rows, strict=True)])
+            low = np.concatenate([np.frombuffer(r["low"], dtype=np.uint8).reshape(-1, 3) for r in rows]).astype(np.uint64)
+            low = low[:, 0] | low[:, 1] << np.uint64(8) | low[:, 2] << np.uint64(16)
+            yes = decide(gathered("key", np.uint32).astype(np.uint64) << np.uint64(24) | low, rank)
         else:
             yes = decide(gathered("key", np.uint32))
         out: tuple[list, list] = ([], [])
@@ -191,27 +208,25 @@ def answered(sent: DataFrame, decide: Callable[..., np.ndarray], exact: bool = T
             at += len(pos)
             if mine.any():
                 out[0].append(r["batch"])
-                out[1].append(pos[mine].tobytes())
+                out[1].append(deltas(pos[mine]))
         return pa.Table.from_batches([record(REPLIES, list(out))])
 
     return frozen(sent.groupBy("bucket").applyInArrow(run, REPLIES), "replies")
 
 
-def sorted_groups(key: np.ndarray, low: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def sorted_groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorting order of the keys, and the number of its group for each place of that order."""
-    order = np.argsort(key, kind="stable") if low is None else np.lexsort((low, key))
+    order = np.argsort(key, kind="stable")
     k = key[order]
-    new = k[1:] != k[:-1]
-    if low is not None:
-        new |= low[order][1:] != low[order][:-1]
     group = np.zeros(len(k), dtype=np.int64)
-    group[1:] = np.cumsum(new)
+    group[1:] = np.cumsum(k[1:] != k[:-1])
     return order, group
 
 
 def bucket_count(batches: DataFrame, size: int = BUCKET_BYTES) -> int:
+    """Enough buckets for ``size`` bytes of text each, at about three bytes of text to one as it is kept."""
     total = batches.agg(F.coalesce(F.sum(F.octet_length("data").cast("long")), F.lit(0))).first()[0]
-    return max(1, -(-total // size))
+    return max(1, -(-3 * total // size))
 
 
 def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

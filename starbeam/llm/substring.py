@@ -77,10 +77,10 @@ def repeated_words(batches: DataFrame, window: int = WINDOW) -> DataFrame:
         at = np.flatnonzero(covered(len(h), low[some], high[some]))
         key = range_hashes(h, at, at + window)
         more = range_hashes(mix(h ^ np.uint64(0x5851F42D4C957F2D)), at, at + window)
-        yield packs(batch, key, at, buckets, more & np.uint64(0xFFFF))
+        yield packs(batch, key, at, buckets, more & np.uint64(0xFFFFFF))
 
-    def elsewhere(key: np.ndarray, low: np.ndarray, rank: np.ndarray) -> np.ndarray:
-        order, group = sorted_groups(key, low)
+    def elsewhere(key: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        order, group = sorted_groups(key)
         yes = np.empty(len(key), dtype=bool)
         yes[order] = (np.bincount(group) > 1)[group]
         return yes
@@ -114,7 +114,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     A null text counts as empty.  Repeated rows are documents of their own,
     so each holds the other's windows; they get equal results.  An empty table
-    gives an empty result.  Keys are 80-bit hashes of the words.
+    gives an empty result.  Keys are hashes of the words of 60 bits and more.
     """
     result = repeated_words(text_batches(docs), window)
     ids = contents(docs).select("doc_id", F.col("content"))

@@ -20,8 +20,8 @@ long:
 4. *Compare neighbours.*  In each sorted run of equal prefixes, those after
    the first document's are repeats.
 
-Prefixes are compared by 80-bit hashes of their bytes (39 bits and more in
-the first step, whose accidents only cost time), not letter by letter, and
+Prefixes are compared by hashes of 60 bits and more of their bytes (36 and more
+in the first step, whose accidents only cost time), not letter by letter, and
 the sort is by hash: the order between different prefixes is never used.
 Equal texts are laid out once; all but the one with the smallest id are
 repeats from end to end.
@@ -62,7 +62,7 @@ def sampled(batch: Batch, depth: int) -> np.ndarray:
 
 
 def named(batch: Batch, at: np.ndarray, depth: int, buckets: int) -> pa.RecordBatch:
-    low = range_hashes(_OTHER[batch.raw], at, at + depth) & np.uint64(0xFFFF)
+    low = range_hashes(_OTHER[batch.raw], at, at + depth) & np.uint64(0xFFFFFF)
     return packs(batch, range_hashes(batch.raw, at, at + depth), at, buckets, low)
 
 
@@ -90,8 +90,8 @@ def repeats(batches: DataFrame, length: int = LENGTH) -> DataFrame:
         if len(at):
             yield named(batch, at, long, buckets)
 
-    def smaller(key: np.ndarray, low: np.ndarray, rank: np.ndarray) -> np.ndarray:
-        order, group = sorted_groups(key, low)
+    def smaller(key: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        order, group = sorted_groups(key)
         first = np.full(group[-1] + 1 if len(group) else 0, np.iinfo(np.int64).max)
         np.minimum.at(first, group, rank[order])
         yes = np.empty(len(key), dtype=bool)
