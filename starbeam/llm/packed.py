@@ -77,7 +77,7 @@ def text_batches(docs: DataFrame, size: int = BATCH_BYTES) -> DataFrame:
         def row() -> pa.RecordBatch:
             nonlocal serial, total
             at = np.cumsum([0, *(len(t) for _, t, _, _ in held)], dtype=np.int64)
-            data = zstandard.ZstdCompressor(level=1).compress(b"".join(t for _, t, _, _ in held))
+            data = zstandard.ZstdCompressor(level=6).compress(b"".join(t for _, t, _, _ in held))
             columns = [serial, data, at.tobytes(), np.array([x[2] for x in held], np.int64).tobytes(),
                        np.array([x[3] for x in held], np.int64).tobytes(), b"".join(c for c, _, _, _ in held)]
             serial, total = serial + 1, 0
