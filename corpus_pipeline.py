@@ -1,9 +1,9 @@
 """The training-data pipeline over ``documents``.
 
 Each stage takes (spark, docs, sf_dir) and returns the documents that go on,
-with the columns of ``documents``; the last one adds what the mix takes of
-each.  ``run`` writes every stage's result as a Parquet table in the shared
-folder and reads it back as the next one's input.
+with the columns of ``documents``; the last one writes the mixed corpus and
+returns what it holds of each.  ``run`` writes every stage's result as a
+Parquet table in the shared folder and reads it back as the next one's input.
 
 In every stage a null text counts as empty.  Repeated rows are judged alike;
 near-duplicate removal leaves one row of each class.  Columns that are not
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starbeam.llm.common import frozen, table
+from starbeam.llm.common import frozen, shared_path, table
 from starbeam.llm.decontam import contamination
 from starbeam.llm.minhash import near_duplicates
 from starbeam.llm.mixing import mix_sources
@@ -49,9 +49,12 @@ def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mask_personal_data(docs)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of each document: doc_id, size, source_size, target, taken."""
-    return mix_sources(docs)
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str, corpus: str | None = None) -> DataFrame:
+    """Writes the mixed corpus (shard, slot, sid, text, parts) to ``corpus``, or else to a fresh sub-path of the shared folder.
+
+    The result is what it holds of each document: doc_id, size, source_size, target, taken.
+    """
+    return mix_sources(docs, path=corpus or shared_path(spark, "pipeline-corpus"))
 
 
 STAGES = [
@@ -66,8 +69,10 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, corpus: str | None = None) -> DataFrame:
+    """The last stage's result; the mixed corpus goes to the Parquet folder ``corpus`` (see ``mix``)."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = frozen(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        out = mix(spark, docs, sf_dir, corpus) if stage is mix else stage(spark, docs, sf_dir)
+        docs = frozen(out, f"pipeline-{name}")
     return docs

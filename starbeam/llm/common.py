@@ -28,8 +28,12 @@ def frozen(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage, and lets several consumers read one result even when
     executors are lost in between.
     """
+    return written(df, shared_path(df.sparkSession, name))
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as a Parquet table to ``path``, where nothing is yet, and read back."""
     spark, schema = df.sparkSession, df.schema
-    path = shared_path(spark, name)
     # once written, the shuffle files behind the table are of no use
     before = spark.conf.get(_CLEAN, None)
     spark.conf.set(_CLEAN, "true")

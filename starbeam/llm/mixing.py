@@ -10,7 +10,8 @@ are numbered through the shards.  Slot ``r`` lies in epoch ``r // blocks`` at
 place ``r % blocks``; a pseudorandom permutation of the source's block
 numbers, one for each epoch, names the block, and slots join blocks by
 (source, block).  The last slot of a source takes the first words of its
-block only.
+block only.  A slot's row holds the text of its block; what the mix takes of
+a document is counted in these rows.
 
 All draws come from hashes of slot numbers, so reruns agree.  Tables that
 grow with the corpus meet only in joins on (source, block); running sums go
@@ -25,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import frozen, let, words
+from .common import frozen, let, words, written
 
 BLOCK = 512
 SHARD = 1024
@@ -145,7 +146,7 @@ def shard_slots(targets: DataFrame, shard: int = SHARD, seed: int = SEED) -> Dat
 
 
 def mixed_blocks(targets: DataFrame, slots: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """Slots with their block: shard, sid, r, block, n_take (words taken from the block's start)."""
+    """Slots with their block: the columns of ``slots``, block, n_take (words taken from the block's start)."""
     s = slots.join(targets.select("sid", "full", "blocks", "epochs", "rest"), "sid")
     s = s.withColumn("_epoch", F.floor(F.col("r") / F.col("blocks"))).withColumn("_place", F.col("r") % F.col("blocks"))
     s = s.withColumn("_key", F.xxhash64(F.lit(seed), F.col("sid"), F.col("_epoch")))
@@ -154,34 +155,92 @@ def mixed_blocks(targets: DataFrame, slots: DataFrame, block: int = BLOCK, seed:
     s = s.withColumn("block", F.when(F.col("_place") < F.col("full"), F.col("_block")).otherwise(F.col("_place")))
     s = s.withColumn("n_take", F.when(F.col("_epoch") < F.col("epochs"), F.lit(block)).otherwise(
         F.least(F.lit(block), F.col("rest") - F.col("_place") * block)))
-    return s.select("shard", "sid", "r", "block", "n_take")
+    return s.select(*slots.columns, "block", "n_take")
 
 
-def mix_sources(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEED) -> DataFrame:
-    """For every row of ``docs`` (doc_id, text, source): size, source_size, target and taken.
+def packed_pieces(placed: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Placed documents (sid, start, doc_id, size, text) cut at block bounds: sid, block, lo (the place of the piece's first
+    word in its block), n (its words), doc_id, start (the document's place in its source), text (words with one space between)."""
+    first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
 
-    Null and empty texts have size 0 and are never taken.  A null source is a
-    source of its own.  Repeated rows and ids are packed and counted
-    separately.  An empty table gives an empty result.
+    def piece(w: Column, b: Column) -> Column:
+        lo, hi = F.greatest(F.col("start"), b * block), F.least(F.col("start") + F.col("size"), (b + 1) * block)
+        part = F.slice(w, (lo - F.col("start") + 1).cast("int"), (hi - lo).cast("int"))
+        return F.struct(b.alias("block"), (lo - b * block).alias("lo"), (hi - lo).alias("n"), F.array_join(part, " ").alias("text"))
+
+    cut = let(words(F.col("text")), lambda w: F.transform(F.sequence(first, last), lambda b: piece(w, b)))
+    return placed.select("sid", "start", "doc_id", F.explode(cut).alias("_p")).select(
+        "sid", "_p.block", "_p.lo", "_p.n", "doc_id", "start", "_p.text")
+
+
+def numbered(slots: DataFrame, seed: int = SEED) -> DataFrame:
+    """Add ``slot``, 0 .. shard - 1: a shard's slots in pseudorandom order, so that its sources lie mixed."""
+    order = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), "sid", "r"), "sid", "r")
+    return slots.withColumn("slot", F.row_number().over(order) - 1)
+
+
+class Mix:
+    """One mix of ``docs`` (doc_id, text, source): its documents' places, its sources' targets and its texts."""
+
+    def __init__(self, docs: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEED) -> None:
+        self.docs, self.block, self.shard, self.seed = docs, block, shard, seed
+        sized = docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"), F.xxhash64("text").alias("_hash"))
+        self.sizes = frozen(sized, "mix-sizes")
+        self.targets = frozen(source_targets(self.sizes, block=block).coalesce(1), "mix-targets")
+        self.n_chunks = self.sizes.agg(F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK), F.lit(1))).first()[0]
+
+    def keyed(self, rows: DataFrame) -> DataFrame:
+        named = self.targets.select("sid", F.col("source").alias("_s"))
+        return rows.join(named, rows["source"].eqNullSafe(F.col("_s"))).drop("_s", "source")
+
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """Rows with words and their place ``start`` in their source; it depends on the rows' values only."""
+        rows = self.keyed(rows).filter("size > 0").withColumn("_chunk", F.pmod(F.xxhash64("doc_id", "size"), F.lit(self.n_chunks)))
+        return running_start(rows, "sid", "_chunk", ["doc_id", "size", "_hash"], "size", "start")
+
+    def texts(self) -> DataFrame:
+        """The mixed corpus, one row for each output slot: shard, slot, sid, text and parts (doc_id, start, text), of which text is made.
+
+        Blocks and slots meet on (sid, block), of which no key has more than
+        a block's words and one slot for each epoch.
+        """
+        sized = self.docs.select("doc_id", "source", "text", F.size(words(F.col("text"))).cast("long").alias("size"), F.xxhash64("text").alias("_hash"))
+        pieces = packed_pieces(self.placed(sized), self.block)
+        blocks = pieces.groupBy("sid", "block").agg(F.sort_array(F.collect_list(F.struct("lo", "n", "doc_id", "start", "text"))).alias("_pieces"))
+        slots = numbered(shard_slots(self.targets, self.shard, self.seed), self.seed)
+        picked = mixed_blocks(self.targets, slots, self.block, self.seed)
+        left = lambda p: F.col("n_take") - p["lo"]
+        cut = lambda p: F.when(p["n"] <= left(p), p["text"]).otherwise(
+            F.array_join(F.slice(F.split(p["text"], " "), 1, left(p).cast("int")), " "))
+        parts = F.transform(F.filter("_pieces", lambda p: p["lo"] < F.col("n_take")),
+                            lambda p: F.struct(p["doc_id"].alias("doc_id"), p["start"].alias("start"), cut(p).alias("text")))
+        made = picked.join(blocks, ["sid", "block"]).select("shard", "slot", "sid", parts.alias("parts"))
+        return made.select("shard", "slot", "sid", F.array_join(F.col("parts.text"), " ").alias("text"), "parts")
+
+    def report(self, texts: DataFrame) -> DataFrame:
+        """For every row of ``docs``: doc_id, size, source_size, target and taken, its words in ``texts``."""
+        used = texts.select("sid", F.explode("parts").alias("_p")).select("sid", "_p.start", F.size(words(F.col("_p.text"))).alias("n"))
+        used = used.groupBy("sid", "start").agg(F.sum("n").alias("taken"))
+        placed = self.placed(self.sizes).select("sid", "start", "doc_id", "size").join(used, ["sid", "start"], "left")
+        rows = placed.select("sid", "doc_id", "size", F.coalesce("taken", F.lit(0)).alias("taken"))
+        empty = self.keyed(self.sizes).filter("size = 0").select("sid", "doc_id", "size", F.lit(0).cast("long").alias("taken"))
+        return rows.unionByName(empty).join(self.targets.select("sid", "source_size", "target"), "sid").select(
+            "doc_id", "size", "source_size", "target", "taken")
+
+
+def mixed_corpus(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEED) -> DataFrame:
+    """The mix of ``docs`` (doc_id, text, source), see ``Mix.texts``."""
+    return Mix(docs, block, shard, seed).texts()
+
+
+def mix_sources(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEED, path: str | None = None) -> DataFrame:
+    """For every row of ``docs`` (doc_id, text, source): size, source_size, target and taken, counted in the mix's texts.
+
+    With ``path``, the mixed corpus is written there as Parquet first, and the
+    counts are those of its files.  Null and empty texts have size 0 and are
+    never taken.  A null source is a source of its own.  Repeated rows and ids
+    are packed and counted separately.  An empty table gives an empty result.
     """
-    sizes = docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"))
-    sizes = frozen(sizes, "mix-sizes")
-    targets = frozen(source_targets(sizes, block=block).coalesce(1), "mix-targets")
-    picked = mixed_blocks(targets, shard_slots(targets, shard, seed), block, seed)
-    by_block = picked.groupBy("sid", "block", "n_take").agg(F.count(F.lit(1)).alias("times"))
-
-    keyed = sizes.join(targets.select("sid", F.col("source").alias("_s")), sizes["source"].eqNullSafe(F.col("_s"))).drop("_s", "source")
-    n_chunks = sizes.agg(F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK), F.lit(1))).scalar()
-    placed = keyed.filter("size > 0").withColumn("_chunk", F.pmod(F.xxhash64("doc_id", "size"), n_chunks))
-    placed = running_start(placed, "sid", "_chunk", ["doc_id", "size"], "size", "start")
-    first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
-    pieces = placed.withColumn("block", F.explode(F.sequence(first, last)))
-    pieces = pieces.withColumn("lo", F.greatest(F.lit(0), F.col("start") - F.col("block") * block))
-    pieces = pieces.withColumn("hi", F.least(F.lit(block), F.col("start") + F.col("size") - F.col("block") * block))
-    words_taken = F.greatest(F.lit(0), F.least(F.col("hi"), F.col("n_take")) - F.col("lo")) * F.col("times")
-    taken = (
-        pieces.join(by_block, ["sid", "block"], "left")
-        .groupBy("sid", "start", "doc_id", "size").agg(F.sum(F.coalesce(words_taken, F.lit(0))).alias("taken")).drop("start")
-    )
-    rows = taken.unionByName(keyed.filter("size = 0").withColumn("taken", F.lit(0).cast("long")))
-    return rows.join(targets.select("sid", "source_size", "target"), "sid").select("doc_id", "size", "source_size", "target", "taken")
+    mix = Mix(docs, block, shard, seed)
+    texts = mix.texts()
+    return mix.report(texts if path is None else written(texts, path))

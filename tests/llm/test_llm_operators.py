@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starbeam.llm import chat, minhash, pii, quality, tokens, warc
 from starbeam.llm.decontam import contamination
-from starbeam.llm.mixing import mix_sources, permuted
+from starbeam.llm.mixing import mix_sources, mixed_corpus, permuted
 from starbeam.llm.queries import ORACLE_SQL, QUERIES
 from starbeam.llm.substring import dedup_substrings
 from starbeam.llm.suffix import dedup_suffixes
@@ -129,6 +129,41 @@ def test_mix_empty(spark):
     assert [(r["size"], r.source_size, r.target, r.taken) for r in blank] == [(0, 0, 0.0, 0)] * 2
 
 
+@pytest.mark.parametrize("awkward", [True, False])
+def test_mixed_corpus(spark, awkward):
+    docs = frame(spark) if awkward else smoke(spark, "documents")
+    texts = {}
+    for r in docs.select("doc_id", "text").collect():
+        texts.setdefault(r.doc_id, []).append(" ".join(brute.words(r.text)))
+    got = mixed_corpus(docs, block=64, shard=16).collect()
+    report = mix_sources(docs, block=64, shard=16).collect()
+    shards = {}
+    for r in got:
+        shards.setdefault(r.shard, []).append(r.slot)
+        assert r.text == " ".join(p.text for p in r.parts) and 0 < len(r.text.split(" ")) <= 64
+        assert all(any(f" {p.text} " in f" {t} " for t in texts[p.doc_id]) for p in r.parts)
+    assert all(sorted(v) == list(range(16)) for k, v in shards.items() if k != max(shards))
+    used = {}
+    for r in got:
+        for p in r.parts:
+            used[p.doc_id] = used.get(p.doc_id, 0) + len(p.text.split(" "))
+    taken = {}
+    for r in report:
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.taken
+    assert used == {i: n for i, n in taken.items() if n}
+    again = mixed_corpus(docs.repartition(7), block=64, shard=16).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    whole = {}
+    for r in got:
+        for p in r.parts:
+            whole.setdefault((r.sid, p.start), set()).update(p.text.split(" "))
+    full = {(r.doc_id, r["size"]) for r in report if r.taken >= 2 * r["size"] > 0}  # two whole epochs
+    for i, n in full:
+        t = next(t for t in texts[i] if len(t.split(" ")) == n)
+        assert any(w == set(t.split(" ")) for w in whole.values())
+    assert mixed_corpus(docs.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 64, 100, 1025])
 def test_permutation(spark, n):
     df = spark.range(n).withColumn("n", F.lit(n).cast("long")).withColumn("k", F.lit(99).cast("long"))

@@ -39,3 +39,13 @@ def test_stages_keep_columns(spark):
         out = stage(spark, docs, SMOKE)
         assert out.columns == docs.columns and out.count() > 0
         assert stage(spark, docs.limit(0), SMOKE).count() == 0
+
+
+def test_mix_writes_the_masked_texts(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "mail a.b@c.de now", "a"), (2, "two words", "b")], "doc_id long, text string, source string")
+    masked = corpus_pipeline.mask_pii(spark, docs, SMOKE)
+    rows = corpus_pipeline.mix(spark, masked, SMOKE, f"{tmp_path}/corpus").collect()
+    got = spark.read.parquet(f"{tmp_path}/corpus").collect()
+    assert {"mail [EMAIL] now", "two words"} >= {p.text for r in got for p in r.parts if len(p.text.split()) > 1}
+    assert sum(len(r.text.split()) for r in got) == sum(r.taken for r in rows) > 0
+    assert not any("@" in r.text for r in got)
