@@ -8,9 +8,12 @@ piece is found by two probes, which differ in the text only: what both begin
 and end with is the frame, the rest is the text.
 
 Rows are dealt by conversation and sorted, and pass as a stream: a task holds
-one conversation's context, which for a conversation of more than ``LONG``
-turns is its first turn and its last ``RECENT`` ones.  Pieces are written one
-row a turn, so no row holds a whole conversation.
+one conversation's turns so far, all of which every prefix is rendered from.
+A template whose pieces depend on their own turn alone can say so by an
+attribute ``by_turn``; then, and only then, a conversation of more than
+``LONG`` turns is rendered on its first turn and its last ``RECENT`` ones,
+which gives the same pieces.  Pieces are written one row a turn, so no row
+holds a whole conversation.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 Turn = tuple[str, str]
 Template = Callable[[Sequence[Turn]], str]
 
-#: a conversation of more turns is rendered on its first turn and the last RECENT ones
+#: by a template with ``by_turn``, a conversation of more turns is rendered on its first turn and the last RECENT ones
 LONG, RECENT = 256, 32
 LEARNED_ROLE = "assistant"
 START, END = "<|im_start|>", "<|im_end|>"
@@ -50,6 +53,9 @@ def chatml(turns: Sequence[Turn]) -> str:
     return "".join(f"{START}{escape(json.dumps(role, ensure_ascii=False)[1:-1])}\n{escape(text)}{END}\n" for role, text in turns)
 
 
+chatml.by_turn = True
+
+
 def common_end(a: str, b: str) -> int:
     return len(os.path.commonprefix([a[::-1], b[::-1]]))
 
@@ -59,6 +65,7 @@ class Renderer:
 
     def __init__(self, template: Template, frames: dict[str, tuple[str, str]]) -> None:
         self.template, self.frames = template, frames
+        self.by_turn = getattr(template, "by_turn", False)
         self.turns: list[Turn] = []
         self.before = template([])
         self.length = len(self.before)
@@ -66,7 +73,8 @@ class Renderer:
         self.rewrote = False
 
     def frame(self, role: str, piece: str) -> tuple[str, str]:
-        head, tail = self.frames.get(role, (None, None))
+        # where a frame may depend on the turn's place, a known one that fits could still be another's
+        head, tail = self.frames.get(role, (None, None)) if self.by_turn else (None, None)
         if head is None or not (piece.startswith(head) and piece.endswith(tail) and len(piece) >= len(head) + len(tail)):
             one, two = (self.template([*self.turns, (role, probe)])[len(self.before) :] for probe in ("A", "B"))
             head = os.path.commonprefix([one, two])
@@ -90,7 +98,7 @@ class Renderer:
         self.length += len(piece)
         self.turns.append((role, text))
         self.before = now
-        if len(self.turns) > LONG:
+        if len(self.turns) > LONG and self.by_turn:
             self.turns = self.turns[:1] + self.turns[-RECENT:]
             self.before = self.template(self.turns)
         return piece, begin, end

@@ -371,6 +371,34 @@ def test_rewriting_template_is_found(spark):
     assert got == {(1, 0): (False, None), (1, 1): (True, None), (2, 0): (False, None), (2, 1): (False, len("[user] ab\n[assistant] "))}
 
 
+def test_templates_of_the_turn_number():
+    """Above LONG turns, pieces of a template that counts its turns, and rewrites of turns in the middle."""
+    def numbered(turns):
+        return "".join(f"{i}:{role}|{text}\n" for i, (role, text) in enumerate(turns))
+
+    def late(turns):
+        """Cuts the text of turn 100 once there are 270 turns."""
+        return "".join(f"[{role}] {text[:3] if i == 100 and len(turns) >= 270 else text}\n" for i, (role, text) in enumerate(turns))
+
+    turns = [(("user", "assistant")[i % 2], f"turn {i}") for i in range(chat.LONG + 60)]
+    renderer = chat.Renderer(numbered, {})
+    got = [renderer.add(*t) for t in turns]
+    whole = numbered(turns)
+    assert "".join(piece for piece, _, _ in got) == whole and not renderer.rewrote
+    assert [whole[begin:end] for _, begin, end in got] == [t for _, t in turns]
+    renderer = chat.Renderer(late, {})
+    assert [renderer.add(*t) and renderer.rewrote for t in turns].index(True) == 269
+    renderer = chat.Renderer(chat.chatml, {})
+    assert "".join(renderer.add(*t)[0] for t in turns) == chat.chatml(turns) and len(renderer.turns) <= chat.LONG
+
+    def from_the_second(turns):
+        return "".join(f"{role}: {f'({i}) ' if i else ''}{text}\n" for i, (role, text) in enumerate(turns))
+
+    renderer, turns = chat.Renderer(from_the_second, {}), [("assistant", "one"), ("assistant", "two")]
+    spans = [renderer.add(*t)[1:] for t in turns]
+    assert [from_the_second(turns)[begin:end] for begin, end in spans] == ["one", "two"]
+
+
 def test_escape_round_trip():
     rng = random.Random(9)
     for _ in range(3000):
