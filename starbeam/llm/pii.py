@@ -55,7 +55,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # the other kinds
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-_SECRET = re.compile(r"(?i)(?<![a-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key)\x20?[:=]\x20?[\"']?([A-Za-z0-9_/+.-]{8,256}+)")
+_SECRET = re.compile(r"(?i)(?<![a-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key)\x20?[:=]\x20?[\"']?([A-Za-z0-9_/+.-]{8,}+)")
 _AWS = re.compile(r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])")
 _WORDS = {
     "ssn": re.compile(r"(?i)\b(?:ssn|social|security|tax)"),

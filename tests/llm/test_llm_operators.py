@@ -273,6 +273,15 @@ def test_added_spans():
     assert pii.masked(text, pii.find_spans(text)) == "mail [EMAIL] and [PHONE]."
 
 
+def test_long_secret():
+    token = "aB" * 990 + "x1" * 10  # no digit among its first 1,980 characters
+    text = f"token={token} end"
+    assert [(s.kind, s.start, s.end) for s in pii.find_spans(text)] == [("secret", 6, 6 + len(token))]
+    assert pii.masked(text, pii.find_spans(text)) == "token=[SECRET] end"
+    text = "password: " + "a1" * 50_000
+    assert pii.masked(text, pii.find_spans(text)) == "password: [SECRET]"
+
+
 @pytest.mark.parametrize("text", ["1" * 100_000, "a" * 100_000, "a.b" * 30_000, "@" * 100_000, "1.1" * 30_000, "+1(" * 30_000, "A" * 100_000])
 def test_no_slow_text(text):
     assert pii.find_spans(text) is not None
