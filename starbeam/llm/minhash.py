@@ -1,13 +1,13 @@
 """Near-duplicate classes: ProbMinHash signatures, banding, verification.
 
-*Signatures.*  A text is a weighted set of shingles of five words, a shingle
-that occurs ``c`` times weighing ``1 + ln c``.  Every shingle is a Poisson
-process whose rate is its weight: its arrivals come after exponential
+*Signatures.*  A text is a set of shingles of five words, all of one weight
+however often they occur, as verification compares sets.  Every shingle is a
+Poisson process of rate one: its arrivals come after exponential
 steps, each falls on one of ``REGISTERS`` registers, and a register keeps the
 shingle that arrived there first.  A shingle is dropped once its next arrival
 is later than every register's first, so each costs little more than one
-draw.  Two texts' registers agree with the probability of their probability
-Jaccard similarity.
+draw.  Two texts' registers agree with the probability of their sets' Jaccard
+similarity.
 
 *Banding.*  Equal texts are one candidate.  Texts whose registers agree in
 one of ``BANDS`` bands of ``ROWS`` share a bucket.
@@ -65,18 +65,16 @@ def signatures(text: np.ndarray, shingle: np.ndarray, n_texts: int, registers: i
     text, shingle = text[order], shingle[order]
     new = np.ones(len(text), dtype=bool)
     new[1:] = (text[1:] != text[:-1]) | (shingle[1:] != shingle[:-1])
-    at = np.flatnonzero(new)
-    times = np.diff(np.append(at, len(text)))
-    text, shingle, weight = text[at], shingle[at], 1.0 + np.log(times)
+    text, shingle = text[new], shingle[new]
     earliest = np.full(n_texts * registers, np.inf)
     holder = np.zeros(n_texts * registers, dtype=np.uint64)
     when, step = np.zeros(len(text)), 0
     while len(text):
         draw = mix(shingle + np.uint64((2 * step + 1) * 0x9E3779B97F4A7C15 % 2**64))
-        when = when - np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53) / weight
+        when = when - np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53)
         last = earliest.reshape(n_texts, registers).max(axis=1)
         live = when < last[text]  # early termination
-        text, shingle, weight, when, draw = text[live], shingle[live], weight[live], when[live], draw[live]
+        text, shingle, when, draw = text[live], shingle[live], when[live], draw[live]
         spot = text * registers + (mix(draw ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(registers)).astype(np.int64)
         np.minimum.at(earliest, spot, when)
         won = when == earliest[spot]

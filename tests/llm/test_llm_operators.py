@@ -4,6 +4,7 @@ import math
 import random
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -332,6 +333,26 @@ def test_near_duplicates_rows(spark):
     assert minhash.near_duplicates(frame(spark).limit(0)).count() == 0
 
 
+def test_repeated_passages_are_near_duplicates(spark):
+    """Sets of shingles of Jaccard 0.8 and more, of which one text holds many far more often than the other."""
+    rng = random.Random(17)
+    rows = []
+    for g in range(40):
+        w = [f"g{g}x{rng.randint(0, 10**6)}" for _ in range(200)]
+        tail = [f"n{g}x{rng.randint(0, 10**6)}" for _ in range(20)]
+        rows += [(10 * g, " ".join(w), "s"), (10 * g + 1, " ".join(w + w[60:130] * 50 + tail), "s")]
+    want = brute.near_classes({i: t for i, t, _ in rows})
+    assert all(want[10 * g + 1] == 10 * g for g in range(40))
+    assert {i: r["class_id"] for i, r in by_id(minhash.near_duplicates(frame(spark, rows))).items()} == want
+
+
+def test_signatures_of_equal_sets():
+    once, often = np.arange(1, 91, dtype=np.uint64), np.repeat(np.arange(1, 91, dtype=np.uint64), np.arange(90) % 40 + 1)
+    text = np.repeat([0, 1], [len(once), len(often)])
+    a, b = minhash.signatures(text, np.concatenate([once, often]), 2, 80)
+    assert (a == b).all()
+
+
 def test_components_of_a_path(spark):
     n = 40
     edges = spark.range(n - 1).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
