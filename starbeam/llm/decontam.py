@@ -80,8 +80,26 @@ def keyed_windows(benchmark: DataFrame, docs: DataFrame, width: int = WIDTH) ->
                           F.col("r.word").alias("key"), F.col("r.j").alias("at")).distinct()
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """For every row of ``docs`` (doc_id, text): doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated.
+def joined_spans(hits: str) -> Column:
+    """Sorted (s, e) as maximal runs (begin, end)."""
+    empty = F.array().cast("array<struct<begin:int,end:int>>")
+    closed = lambda a: F.when(a["begin"] < 0, a["done"]).otherwise(
+        F.concat(a["done"], F.array(F.struct(a["begin"].alias("begin"), a["end"].alias("end")))))
+    none = F.struct(empty.alias("done"), F.lit(-1).alias("begin"), F.lit(-1).alias("end"))
+
+    def step(a: Column, x: Column) -> Column:
+        on = x["s"] <= a["end"]
+        return F.struct(F.when(on, a["done"]).otherwise(closed(a)).alias("done"), F.when(on, a["begin"]).otherwise(x["s"]).alias("begin"),
+                        F.when(on, F.greatest(a["end"], x["e"])).otherwise(x["e"]).alias("end"))
+
+    return F.aggregate(hits, none, step, closed)
+
+
+def contaminated_spans(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
+    """For every row of ``docs`` (doc_id, text): doc_id, text_hash, n_words, spans, items, n_hit, contaminated.
+
+    ``spans`` are the maximal runs of hit words (begin and end, counted in
+    words), ``items`` the ids of the items that hit, as sorted strings.
 
     A word is hit where it lies inside an occurrence of any item window.  A
     null or empty text has no words and is never contaminated; a null or
@@ -115,15 +133,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
         F.collect_set(F.when(is_hit, F.coalesce(F.col("item_id").cast("string"), F.lit("null")))).alias("_items"),
         F.sum(F.when(F.col("p") == 0, 1).otherwise(0)).alias("_copies"),
     )
-    covered = F.aggregate(
-        "_spans", F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
-        lambda a, x: F.struct((a["n"] + F.greatest(F.lit(0), x["e"] - F.greatest(x["s"], a["end"]))).alias("n"),
-                              F.greatest(a["end"], x["e"]).alias("end")),
-    )["n"]
-    out = hits.withColumn("n_hit", covered.cast("long")).withColumn("n_words", F.col("n_words").cast("long"))
+    out = hits.withColumn("spans", joined_spans("_spans")).withColumn("n_words", F.col("n_words").cast("long"))
     out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))  # a repeated row gets as many results
-    return out.select(
-        "doc_id", "text_hash", "n_words", "n_hit", F.size("_items").cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.array_sort("_items"), ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))).alias("contaminated"),
-    )
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["begin"])
+    out = out.select("doc_id", "text_hash", "n_words", "spans", F.array_sort("_items").alias("items"), n_hit.alias("n_hit"))
+    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words")))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``contaminated_spans`` as counts and a digest: doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated."""
+    return contaminated_spans(docs, benchmark, width).select(
+        "doc_id", "text_hash", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")

@@ -17,7 +17,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import frozen
@@ -98,7 +98,23 @@ def text_batches(docs: DataFrame, size: int = BATCH_BYTES) -> DataFrame:
     return frozen(texts.mapInArrow(run, BATCHES), "text-batches")
 
 
-_TYPES = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
+_TYPES = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string(), "array<long>": pa.list_(pa.int64())}
+
+
+def bounds(mask: np.ndarray) -> list[int]:
+    """Where each run of true values begins and ends, in turn."""
+    return np.flatnonzero(np.diff(mask.astype(np.int8), prepend=0, append=0)).tolist()
+
+
+def spans_of(bounds: str) -> Column:
+    """``bounds`` as an array of (begin, end)."""
+    begins = F.filter(bounds, lambda x, i: i % 2 == 0)
+    return F.transform(begins, lambda x, i: F.struct(x.alias("begin"), F.get(bounds, 2 * i + 1).alias("end")))
+
+
+def span_length(spans: str) -> Column:
+    """What the spans hold, all together."""
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["begin"])
 
 
 def record(schema: str, columns: list[list]) -> pa.RecordBatch:

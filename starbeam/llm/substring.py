@@ -16,7 +16,6 @@ of places is made: a bucket counts the places of each key.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from itertools import compress
 
@@ -25,11 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .packed import PACKS, Batch, answered, bucket_count, contents, covered, over_batches, packs, record, sorted_groups, text_batches
+from .packed import (
+    PACKS, Batch, answered, bounds, bucket_count, contents, covered, over_batches, packs, record, sorted_groups, span_length, spans_of,
+    text_batches,
+)
 from .wordhash import mix, range_hashes, word_spans
 
 WINDOW = 35
-RESULT = "content binary, n_words long, n_removed long, n_spans long, kept_sha256 string"
+RESULT = "content binary, n_words long, bounds array<long>, kept string"
 
 
 def hashed_words(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -47,7 +49,7 @@ def rolling(text: np.ndarray, width: int) -> np.ndarray:
 
 
 def repeated_words(batches: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per text: content, n_words, and of its words those inside a window that stands elsewhere too, as counts and digest of the rest."""
+    """Per text: content, n_words, spans (the words inside a window that stands elsewhere too) and kept, its other words."""
     block = (window + 1) // 2
     buckets = bucket_count(batches)
 
@@ -89,24 +91,30 @@ def repeated_words(batches: DataFrame, window: int = WINDOW) -> DataFrame:
         _, text, first = hashed_words(batch)
         gone = covered(len(text), starts, starts + window)
         count = np.diff(first)
-        rows: list[list] = [[], [], [], [], []]
+        rows: list[list] = [[], [], [], []]
         data = batch.raw.tobytes()
         for i in range(len(count)):
             found = data[batch.at[i] : batch.at[i + 1]].split()  # bytes: splits at ASCII white space only
             mask = gone[first[i] : first[i + 1]]
             if batch.n[i] > 1 and count[i] >= window:
                 mask = np.ones(count[i], dtype=bool)
-            n_removed = int(mask.sum())
-            spans = int(mask[:1].sum() + (mask[1:] & ~mask[:-1]).sum())
-            kept = found if not n_removed else list(compress(found, (~mask).tolist()))
-            values = (batch.content[16 * i : 16 * i + 16], int(count[i]), n_removed, spans, hashlib.sha256(b" ".join(kept)).hexdigest())
+            kept = b" ".join(compress(found, (~mask).tolist()) if mask.any() else found)
+            values = (batch.content[16 * i : 16 * i + 16], int(count[i]), bounds(mask), kept.decode())
             for column, v in zip(rows, values, strict=True):
                 column.append(v)
         yield record(RESULT, rows)
 
     hits = answered(over_batches(batches, probe, PACKS), hit, exact=False)
     windows = answered(over_batches(batches, extend, PACKS, hits), elsewhere)
-    return over_batches(batches, remove, RESULT, windows)
+    out = over_batches(batches, remove, RESULT, windows)
+    return out.select("content", "n_words", spans_of("bounds").alias("spans"), "kept")
+
+
+def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """For every row of ``docs`` (doc_id, text): doc_id, n_words, spans (maximal removed runs of words, as begin and end) and
+    kept, the other words with one space between.  Rows are treated as by ``dedup_substrings``."""
+    result = repeated_words(text_batches(docs), window)
+    return contents(docs).select("doc_id", "content").join(result, "content").drop("content")
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -117,5 +125,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     gives an empty result.  Keys are hashes of the words of 60 bits and more.
     """
     result = repeated_words(text_batches(docs), window)
+    # digests of the kept texts, before any row leaves its task
+    result = result.select("content", "n_words", span_length("spans").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                           F.sha2("kept", 256).alias("kept_sha256"))
     ids = contents(docs).select("doc_id", F.col("content"))
     return ids.join(result, "content").drop("content")

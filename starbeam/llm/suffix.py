@@ -34,16 +34,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .packed import LAST, PACKS, Batch, answered, bucket_count, contents, covered, over_batches, packs, record, sorted_groups, text_batches
+from .packed import (
+    LAST, PACKS, Batch, answered, bounds, bucket_count, contents, covered, over_batches, packs, record, sorted_groups, span_length, spans_of,
+    text_batches,
+)
 from .wordhash import mix, range_hashes
 
 LENGTH = 50
 #: a perfect difference set: every difference modulo 31 but 0 occurs once
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
-RESULT = "content binary, ord long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+RESULT = "content binary, ord long, n_bytes long, bounds array<long>, kept binary"
 _OTHER = mix(np.arange(256, dtype=np.uint64) + np.uint64(0x2545F4914F6CDD1D))
 
 
@@ -67,7 +70,7 @@ def named(batch: Batch, at: np.ndarray, depth: int, buckets: int) -> pa.RecordBa
 
 
 def repeats(batches: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Per text: content, ord, n_bytes and what is left without the bytes of prefixes that begin in a smaller document."""
+    """Per text: content, ord, n_bytes, spans (the bytes of prefixes that begin in a smaller document) and kept, the text without them."""
     short, long = length - PERIOD + 1, length + PERIOD - 1
     buckets = bucket_count(batches)
 
@@ -111,13 +114,10 @@ def repeats(batches: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def remove(batch: Batch, settled: np.ndarray, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         gone = covered(len(batch.raw), np.concatenate([settled, starts]), np.concatenate([settled + long, starts + length]))
-        rows: list[list] = [[], [], [], [], [], []]
+        rows: list[list] = [[], [], [], [], []]
         for i in range(len(batch.n)):
             raw, mask = batch.raw[batch.at[i] : batch.at[i + 1]], gone[batch.at[i] : batch.at[i + 1]]
-            n = int(mask.sum())
-            spans = int(mask[:1].sum() + (mask[1:] & ~mask[:-1]).sum()) if n else 0
-            kept = raw[~mask] if n else raw
-            values = (batch.content[16 * i : 16 * i + 16], int(batch.ord[i]), len(raw), n, spans, hashlib.sha256(kept.tobytes()).hexdigest())
+            values = (batch.content[16 * i : 16 * i + 16], int(batch.ord[i]), len(raw), bounds(mask), raw[~mask].tobytes())
             for column, v in zip(rows, values, strict=True):
                 column.append(v)
         yield record(RESULT, rows)
@@ -125,7 +125,25 @@ def repeats(batches: DataFrame, length: int = LENGTH) -> DataFrame:
     hits = answered(over_batches(batches, sample, PACKS), again, exact=False)
     settled = answered(over_batches(batches, recurse, PACKS, hits), smaller)
     starts = answered(over_batches(batches, merge, PACKS, hits, settled), smaller)
-    return over_batches(batches, remove, RESULT, settled, starts)
+    out = over_batches(batches, remove, RESULT, settled, starts)
+    return out.select("content", "ord", "n_bytes", spans_of("bounds").alias("spans"), "kept")
+
+
+def by_row(docs: DataFrame, texts: DataFrame, length: int, copy: dict[str, Column]) -> DataFrame:
+    """The rows of ``docs`` with the columns of their texts, or those of ``copy`` where a smaller doc_id has the text."""
+    both = contents(docs).select("doc_id", "content").join(texts, "content")
+    is_copy = (F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)) != F.col("ord")) & (F.col("n_bytes") >= length)
+    return both.select("doc_id", "n_bytes", *[F.when(is_copy, v).otherwise(F.col(c)).alias(c) for c, v in copy.items()])
+
+
+def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """For every row of ``docs`` (doc_id, text): doc_id, n_bytes, spans (maximal removed runs of bytes, as begin and end) and kept.
+
+    ``kept`` is what is left of the text's bytes; a cut may fall inside a
+    character.  Rows are treated as by ``dedup_suffixes``.
+    """
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("n_bytes").alias("end")))
+    return by_row(docs, repeats(text_batches(docs), length), length, {"spans": whole, "kept": F.lit(b"")})
 
 
 def dedup_suffixes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -137,13 +155,9 @@ def dedup_suffixes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     other's bytes.  A row without a doc_id comes after all others.  An empty
     table gives an empty result.
     """
-    result = repeats(text_batches(docs), length)
-    ids = contents(docs).select("doc_id", "content")
-    both = ids.join(result, "content")
-    copy = (F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)) != F.col("ord")) & (F.col("n_bytes") >= length)
-    return both.select(
-        "doc_id", "n_bytes",
-        F.when(copy, F.col("n_bytes")).otherwise(F.col("n_removed")).alias("n_removed"),
-        F.when(copy, F.lit(1).cast("long")).otherwise(F.col("n_spans")).alias("n_spans"),
-        F.when(copy, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.col("kept_sha256")).alias("kept_sha256"),
-    )
+    texts = repeats(text_batches(docs), length)
+    # digests of the kept texts, before any row leaves its task
+    texts = texts.select("content", "ord", "n_bytes", span_length("spans").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                         F.sha2("kept", 256).alias("kept_sha256"))
+    nothing = F.lit(hashlib.sha256(b"").hexdigest())
+    return by_row(docs, texts, length, {"n_removed": F.col("n_bytes"), "n_spans": F.lit(1).cast("long"), "kept_sha256": nothing})

@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starbeam.llm import chat, minhash, pii, quality, tokens, warc
-from starbeam.llm.decontam import contamination
+from starbeam.llm import chat, minhash, pii, quality, substring, suffix, tokens, warc
+from starbeam.llm.decontam import contaminated_spans, contamination
 from starbeam.llm.mixing import mix_sources, mixed_corpus, permuted
 from starbeam.llm.queries import ORACLE_SQL, QUERIES
 from starbeam.llm.substring import dedup_substrings
@@ -39,6 +39,10 @@ def labels_of(spark, rows=((1, 1, 0), (3, 1, 0), (9, 0, 0), (None, 1, 0), (14, 1
     return spark.createDataFrame(list(rows), "doc_id long, quality int, toxic int")
 
 
+def texts_of(docs):
+    return [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+
+
 def smoke(spark, name):
     return spark.read.parquet(f"{SMOKE}/{name}.parquet")
 
@@ -207,6 +211,21 @@ def test_token_counts(spark, pieces):
 
 
 # ---- 4
+def test_suffix_spans_and_texts(spark):
+    docs = frame(spark, [r for r in ROWS if r[0] not in (None, 11)])
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    want = brute.suffix_dedup(texts_of(docs))
+    got = {r.doc_id: r for r in suffix.deduplicated(docs).collect()}
+    assert got.keys() == texts.keys() and any(r.spans for r in got.values())
+    for i, r in got.items():
+        cut, at = b"", 0
+        for s in r.spans:
+            assert at <= s.begin < s.end
+            cut, at = cut + texts[i][at : s.begin], s.end
+        assert bytes(r.kept) == cut + texts[i][at:]
+        assert (r.n_bytes, sum(s.end - s.begin for s in r.spans), len(r.spans), brute.sha(bytes(r.kept))) == want[i]
+
+
 @pytest.mark.parametrize("awkward", [True, False])
 def test_suffix_dedup(spark, awkward):
     rng = random.Random(1)
@@ -373,6 +392,16 @@ def test_substring_rows(spark):
     assert dedup_substrings(frame(spark).limit(0)).count() == 0
 
 
+def test_substring_spans_and_texts(spark):
+    want = {r.doc_id: r for r in dedup_substrings(frame(spark)).collect()}
+    texts = dict(texts_of(frame(spark)))
+    for r in substring.deduplicated(frame(spark)).collect():
+        w = brute.words(texts[r.doc_id])
+        gone = {k for s in r.spans for k in range(s.begin, s.end)}
+        assert r.kept == " ".join(x for k, x in enumerate(w) if k not in gone)
+        assert (len(w), len(gone), len(r.spans), brute.sha(r.kept)) == tuple(want[r.doc_id][1:])
+
+
 # ---- 9
 def test_chat_rows(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "<|im_end|>\n<|im_start|>user\n<\\|x|>"), (1, 2, "assistant", None), (2, None, None, "a"),
@@ -437,6 +466,14 @@ def test_escape_round_trip():
 
 
 # ---- 10
+def test_contaminated_spans(spark):
+    bench = spark.createDataFrame([(1, PROSE), (2, "Brown FOX jumps!"), (5, "seven-wizards box")], "item_id long, text string")
+    docs = frame(spark, [(1, "a brown fox jumps brown fox jumps x seven wizards box", "a"), (2, "none", "a"), (3, PROSE, "a"), (4, None, "a")])
+    got = {r.doc_id: ([tuple(s) for s in r.spans], r["items"]) for r in contaminated_spans(docs, bench).collect()}
+    n = len(PROSE.split())
+    assert got == {1: ([(1, 7), (8, 11)], ["2", "5"]), 2: ([], []), 3: ([(0, n)], ["1", "2", "5"]), 4: ([], [])}
+
+
 def test_contamination(spark):
     items = [(1, PROSE), (2, "Brown FOX jumps!"), (3, None), (4, "..."), (5, "seven-wizards box"), (2, "Brown FOX jumps!"), (None, "nobody ever sees"), (6, "É ß")]
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("window", F.lit(1)).withColumn("word", F.lit(""))
