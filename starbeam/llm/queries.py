@@ -14,10 +14,12 @@ from .minhash import near_duplicates
 from .mixing import mix_sources
 from .pii import personal_data
 from .quality import quality_scores
+from .spelling import spelling_variants, word_counts
 from .substring import dedup_substrings
 from .suffix import dedup_suffixes
 from .tokens import token_counts
 from .warc import archive_pages
+from .whitening import whitened
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +76,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(word_counts(table(spark, sf_dir, "documents")))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_mix_sources": op2_mix_sources,
@@ -85,6 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_decontamination": op10_decontamination,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 #: DuckDB SQL by query, where SQL can express the operator
