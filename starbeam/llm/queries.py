@@ -12,6 +12,7 @@ from .common import table
 from .decontam import contamination
 from .minhash import near_duplicates
 from .mixing import mix_sources
+from .neural_lm import neural_scores
 from .pii import personal_data
 from .quality import quality_scores
 from .spelling import spelling_variants, word_counts
@@ -80,6 +81,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(word_counts(table(spark, sf_dir, "documents")))
 
 
+def op12_neural_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neural_scores(table(spark, sf_dir, "documents"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(table(spark, sf_dir, "embeddings"))
 
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_format": op9_chat_format,
     "op10_decontamination": op10_decontamination,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_neural_scores": op12_neural_scores,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 
