@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import frozen
 
 HEAD, BUCKETS, LISTED = 255, 64, 1 << 16
-DIM, CONTEXT, NOISE, BATCH = 32, 2, 64, 512
+DIM, CONTEXT, NOISE, BATCH = 32, 2, 64, 1024
 RATE, SEED = 0.1, 11
 #: shares of the training texts by round, in parts of the last number
 ROUNDS = (1, 8)
@@ -132,6 +132,16 @@ class Vocabulary:
         """The output of every listed word."""
         return np.array([i if i < self.head else self.bucket(w) for w, i in self.words.items()], dtype=np.int64)
 
+    def outputs_of(self, words: list[bytes], listed_outputs: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """The outputs of words, where they are in the list (-1: nowhere), and the places of those that are not."""
+        get = self.words.get
+        at = np.array([get(w, -1) for w in words], dtype=np.int64)
+        outputs = listed_outputs[at] if len(listed_outputs) else at.copy()
+        missing = np.flatnonzero(at < 0).tolist()
+        first, n, crc = self.head + 1, self.buckets, zlib.crc32
+        outputs[missing] = [first + crc(words[i]) % n for i in missing]
+        return outputs, at, missing
+
     def inner(self) -> np.ndarray:
         """log10 of a listed word's share of its output."""
         share = np.zeros(len(self.counts))
@@ -148,12 +158,25 @@ class Vocabulary:
         return n / n.sum()
 
 
+def listed_from(words: DataFrame, most: int) -> int:
+    """The smallest count such that at most ``most`` words (word, c) reach it; a few aggregates of one row each."""
+    low, high = 0, (words.agg(F.max("c")).first()[0] or 0) + 1  # none reaches high; all reach low
+    if words.count() <= most:
+        return low
+    while high - low > 1:
+        marks = list(range(low + 1, high, max(1, (high - low) // 64)))
+        reached = words.agg(*[F.count_if(F.col("c") >= m) for m in marks]).first()
+        high = min([m for m, n in zip(marks, reached, strict=True) if n <= most], default=high)
+        low = max([m for m, n in zip(marks, reached, strict=True) if n > most], default=low)
+    return high
+
+
 def vocabulary(counts: DataFrame, head: int, buckets: int, listed: int) -> Vocabulary:
     """The vocabulary of a table (word, c)."""
     row = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.when(F.col("word") == F.lit(END), F.col("c"))).alias("e")).first()
     words = counts.filter(F.col("word") != F.lit(END))
-    # ``listed`` rows with keys of at most 64 bytes
-    top = words.orderBy(F.desc("c"), "word").limit(listed).collect()
+    # at most ``listed`` rows with keys of at most 64 bytes; words of one count are listed all or none
+    top = sorted(words.filter(F.col("c") >= listed_from(words, listed)).collect(), key=lambda r: (-r.c, r.word))
     totals = np.ones(buckets)
     for r in words.groupBy((F.crc32("word") % buckets).alias("b")).agg(F.sum(F.col("c") + 1).alias("t")).collect():
         totals[r.b] += r.t
@@ -171,23 +194,24 @@ class Model:
         n = len(frequencies)
         self.log_p = np.log(frequencies).astype(np.float32)
         self.cumulated = np.cumsum(frequencies)
-        shapes = [(n + 1, dim), (n, dim), (n,), (context, dim)]
+        shapes = [(n + 1, dim), (n, dim + 1), (context, dim)]
         sizes = [int(np.prod(s)) for s in shapes]
         if flat is None:
             rng = np.random.default_rng(SEED)
-            small = [rng.normal(0, 0.1, s) for s in shapes[:2]]
-            parts = [*small, np.log(frequencies), np.ones(shapes[3]) / context]
+            seen, out = (rng.normal(0, 0.1, s) for s in shapes[:2])
+            out[:, dim] = np.log(frequencies)
+            parts = [seen, out, np.ones(shapes[2]) / context]
             flat = np.concatenate([p.ravel() for p in parts] + [np.full(sum(sizes), 0.01)])
         self.flat = flat.astype(np.float32)
         cuts = np.cumsum(sizes * 2)[:-1]
         parts = [p.reshape(s) for p, s in zip(np.split(self.flat, cuts), shapes * 2, strict=True)]
-        # context vectors, output vectors, biases, scales by position; and of each the sum of squared gradients
-        self.r, self.q, self.b, self.c, self.r2, self.q2, self.b2, self.c2 = parts
+        # context vectors; output vectors, each with its bias; scales by position; and of each the sum of squared gradients
+        self.r, self.q, self.c, self.r2, self.q2, self.c2 = parts
 
     @staticmethod
     def _rows(param: np.ndarray, squares: np.ndarray, rows: np.ndarray, grads: np.ndarray, rate: float) -> None:
         """An Adagrad step on some rows of a parameter; gradients of the same row are added up."""
-        order = np.argsort(rows, kind="stable")
+        order = np.argsort(rows.astype(np.uint16) if len(param) < 2**16 else rows, kind="stable")
         rows = rows[order]
         first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
         rows, total = rows[first], np.add.reduceat(grads[order], first, axis=0)
@@ -199,17 +223,17 @@ class Model:
         n = len(self.log_p)
         x = np.minimum(np.searchsorted(self.cumulated, rng.random(noise) * self.cumulated[-1]), n - 1)
         seen = self.r[context]
-        q = (seen * self.c).sum(axis=1)
+        h = np.ones((len(target), self.q.shape[1]), dtype=np.float32)
+        h[:, :-1] = (seen * self.c).sum(axis=1)
         odds = np.log(np.float32(noise)) + self.log_p
         qt, qx = self.q[target], self.q[x]
-        up = 1 / (1 + np.exp(np.einsum("bd,bd->b", q, qt) + self.b[target] - odds[target]))
-        down = -1 / (1 + np.exp(-(q @ qx.T + self.b[x] - odds[x])))
-        dq = up[:, None] * qt + down @ qx
-        rows = np.concatenate([target, x])
-        self._rows(self.q, self.q2, rows, np.concatenate([up[:, None] * q, down.T @ q]), rate)
-        self._rows(self.b, self.b2, rows, np.concatenate([up, down.sum(axis=0)]), rate)
-        self._rows(self.r, self.r2, context.ravel(), (dq[:, None, :] * self.c).reshape(-1, q.shape[1]), rate)
-        dc = np.einsum("bd,bnd->nd", dq, seen)
+        up = 1 / (1 + np.exp(np.einsum("bd,bd->b", h, qt) - odds[target]))
+        down = h @ qx.T
+        down = -1 / (1 + np.exp(odds[x] - down))
+        back = (up[:, None] * qt + down @ qx)[:, :-1]
+        self._rows(self.q, self.q2, np.concatenate([target, x]), np.concatenate([up[:, None] * h, down.T @ h]), rate)
+        self._rows(self.r, self.r2, context.ravel(), (back[:, None, :] * self.c).reshape(-1, back.shape[1]), rate)
+        dc = np.einsum("bd,bnd->nd", back, seen)
         self.c2 += dc * dc
         self.c += rate * dc / np.sqrt(self.c2)
 
@@ -221,21 +245,20 @@ class Model:
         _, at, back = np.unique(key, return_index=True, return_inverse=True)
         out = np.empty(len(at))
         once = context[at]
-        q = self.r[once[:, 0]] * self.c[0]
+        h = np.ones((len(at), self.q.shape[1]), dtype=np.float32)
+        h[:, :-1] = self.r[once[:, 0]] * self.c[0]
         for i in range(1, context.shape[1]):
-            q += self.r[once[:, i]] * self.c[i]
-        # no score exceeds this bound of its row: exponentials neither overflow nor all vanish
-        bound = np.linalg.norm(q, axis=1) * np.linalg.norm(self.q, axis=1).max() + self.b.max()
+            h[:, :-1] += self.r[once[:, i]] * self.c[i]
+        # no score exceeds this bound of its row: where it is small, exponentials neither overflow nor all vanish
+        bound = np.linalg.norm(h[:, :-1], axis=1) * np.linalg.norm(self.q[:, :-1], axis=1).max() + self.q[:, -1].max()
         for i in range(0, len(at), block):
-            s = q[i : i + block] @ self.q.T
-            s += self.b
+            s = h[i : i + block] @ self.q.T
             if (top := bound[i : i + block, None]).max() > 60:
                 top = s.max(axis=1, keepdims=True)
             s -= top
             np.exp(s, out=s)
             out[i : i + block] = np.log(s.sum(axis=1)) + top[:, 0]
-        own = np.einsum("bd,bd->b", q[back], self.q[target]) + self.b[target]
-        return own - out[back]
+        return np.einsum("bd,bd->b", h[back], self.q[target]) - out[back]
 
 
 class Contexts:
@@ -267,8 +290,7 @@ def train(docs: DataFrame, vocab: Vocabulary, dim: int = DIM, context: int = CON
     """The model learnt from the texts of ``docs``, every one of them once."""
     frequencies = vocab.frequencies()
     model = Model(frequencies, dim, context)
-    head = dict(list(vocab.words.items())[: vocab.head])
-    n_outputs, end, buckets = vocab.outputs, vocab.end, vocab.buckets
+    n_outputs, end = vocab.outputs, vocab.end
     # another crc32 than that which holds texts out, so that the parts are alike
     part = F.crc32(F.concat(F.lit("round:").cast("binary"), _id_bytes(F.col("doc_id")))) % rounds[-1]
     wide = 64
@@ -289,12 +311,12 @@ def train(docs: DataFrame, vocab: Vocabulary, dim: int = DIM, context: int = CON
                     mine.learn(c[some], t[some], rng, noise, rate)
                 return len(t)
 
-            first = end + 1
+            outputs = vocab.listed_outputs()
             for rows in batches:
                 for text in rows.column("text").to_pylist():
                     held.begin()
                     for words in word_runs(text or ""):
-                        held.add(np.array([head[w] if w in head else first + zlib.crc32(w) % buckets for w in words], dtype=np.int64))
+                        held.add(vocab.outputs_of(words, outputs)[0])
                         if held.size >= HELD:
                             seen += steps()
                     held.add(np.array([end]))
@@ -343,22 +365,15 @@ class Scorer:
     def text(self, row: int, text: str) -> Counter[bytes]:
         """Takes up a text; gives its words that are not listed, whose counts are added later."""
         rest: Counter[bytes] = Counter()
-        get, bucket = self.vocab.words.get, self.vocab.bucket
         self.contexts.begin()
         for words in word_runs(text):
-            at = np.array([get(w, -1) for w in words], dtype=np.int64)
-            listed = at >= 0
-            found = at[listed]
-            outputs = np.empty(len(at), dtype=np.int64)
-            outputs[listed] = self.outputs[found]
-            missing = np.flatnonzero(~listed).tolist()
-            others = [words[i] for i in missing]
-            rest.update(others)
-            outputs[missing] = own = np.array([bucket(w) for w in others], dtype=np.int64)
+            outputs, at, missing = self.vocab.outputs_of(words, self.outputs)
+            found = at[at >= 0]
+            rest.update([words[i] for i in missing])
             self.tokens[row] += len(words)
             self.known[row] += len(found)
             self.logs[row] += self.log_counts[found].sum()
-            self.score[row] += self.inner[found].sum() - self.log_buckets[own - self.vocab.end - 1].sum()
+            self.score[row] += self.inner[found].sum() - self.log_buckets[outputs[missing] - self.vocab.end - 1].sum()
             self._add(row, outputs)
         self._add(row, np.array([self.vocab.end]))
         self.tokens[row] += 1
@@ -388,7 +403,7 @@ def scored(docs: DataFrame, vocab: Vocabulary, model: Model) -> DataFrame:
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     flat, frequencies = model.flat, vocab.frequencies()
-    dim, context = model.q.shape[1], len(model.c)
+    dim, context = model.r.shape[1], len(model.c)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = Model(frequencies, dim, context, flat)
