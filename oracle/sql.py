@@ -396,6 +396,12 @@ def _ms(*names: str) -> str:
 BODIES: dict[str, str] = {
     # sources and sinks
     "csv_source": "SELECT * FROM raw",
+    "csv_awkward_files": """SELECT * REPLACE (customer_name || ' é' AS customer_name,
+        CASE WHEN CAST(row_id AS BIGINT) % 11 = 0 THEN product_name || chr(10) || '"x", y' ELSE product_name END AS product_name,
+        CASE WHEN CAST(row_id AS BIGINT) % 3 = 2 AND CAST(row_id AS BIGINT) % 13 = 0 THEN NULL ELSE segment END AS segment) FROM raw""",
+    "csv_ragged_rows": """SELECT CAST(id % 3 AS INTEGER) AS part, id % 3 <> 1 AS utf8, COUNT(*) AS rows,
+        COUNT(*) FILTER (id % 3 = 2 AND id % 13 = 0) AS short_rows, COUNT(*) FILTER (id % 3 = 1 AND id % 17 = 0) AS surplus_rows
+        FROM (SELECT CAST(row_id AS BIGINT) AS id FROM raw) GROUP BY ALL""",
     "report_source": """SELECT file_no, i AS line_no, parts[i] AS line
         FROM (SELECT file_no, string_split(value, chr(10)) AS parts FROM report_text) t, range(1, len(parts)) r(i)""",
     "recommendation_source": """SELECT source_product_id, recommended_product_id, recommendation_type,

@@ -59,6 +59,7 @@ def main(argv: list[str] | None = None) -> int:
     sub = p.add_subparsers(dest="cmd", required=True)
     a = sub.add_parser("load")
     a.add_argument("--csv", required=True)
+    a.add_argument("--max-surplus", type=int, default=0, help="rows with surplus fields that a load may hold")
     a.add_argument("--star", required=True)
     a = sub.add_parser("recommend")
     a.add_argument("--report", required=True)
@@ -85,19 +86,21 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "load":
         from .operators.clean import clean_orders_observed
         from .plans.star import build_star, increment
-        from .session import written
+        from .session import scratch, written
         from .sources.csv import read_orders_csv
 
-        clean, raw_obs, kept_obs = clean_orders_observed(read_orders_csv(spark, args.csv))
         # the clean record is written once; the reject counts arrive with that job
-        with written(clean, "clean") as rows:
-            print({**raw_obs.get, **kept_obs.get})
-            if published(spark, args.star) is None:
-                print(publish_star(build_star(rows), args.star))
-            else:
-                star = read_star(spark, args.star)
-                dims, new_facts = increment(star, rows)
-                print(publish_increment(star.with_(**dims), new_facts, args.star))
+        with scratch(spark):
+            raw = read_orders_csv(spark, args.csv, args.max_surplus)
+            clean, raw_obs, kept_obs = clean_orders_observed(raw)
+            with written(clean, "clean") as rows:
+                print({**raw_obs.get, **kept_obs.get})
+                if published(spark, args.star) is None:
+                    print(publish_star(build_star(rows), args.star))
+                else:
+                    star = read_star(spark, args.star)
+                    dims, new_facts = increment(star, rows)
+                    print(publish_increment(star.with_(**dims), new_facts, args.star))
         return 0
     star = read_star(spark, args.star)
     if args.cmd == "recommend":

@@ -26,7 +26,7 @@ from ..operators.numbering import assign_surrogate_keys
 from ..operators.upsert import upsert_ignore, upsert_update
 from ..session import new_path
 from ..sources import csv as CSV
-from ..sources.fixture import BATCH_CUTOFF, LINEITEM_COLUMNS, order_batches, raw_orders, table
+from ..sources.fixture import BATCH_CUTOFF, LINEITEM_COLUMNS, order_batches, raw_orders, table, write_awkward_csv
 from ..sources.star_store import AuditFailed, markers, publish_increment, publish_star, read_star
 from ..warehouse import FIXTURE_LOAD_DATE, Fixture, fixture
 from . import golden as GQ
@@ -85,6 +85,17 @@ def _raw_csv(fx: Fixture) -> DataFrame:
     return CSV.read_orders_csv(fx.spark, path)
 
 
+def _awkward_csv(fx: Fixture) -> list[str]:
+    path = _written(fx, "awkward-csv", lambda p: write_awkward_csv(_raw(fx), p))
+    return [f"{path}/part{i}" for i in range(3)]
+
+
+def _awkward_report(fx: Fixture) -> DataFrame:
+    report = CSV.file_report(fx.spark, _awkward_csv(fx))
+    part = F.regexp_extract("_file", "/part([0-9])/", 1).cast("int").alias("part")
+    return report.select(part, "utf8", "rows", "short_rows", "surplus_rows")
+
+
 def _pairs_csv(fx: Fixture) -> DataFrame:
     path = _written(fx, "pairs-csv", lambda p: fx.pairs.write.option("header", True).csv(p))
     return CSV.read_recommendations(fx.spark, path)
@@ -289,6 +300,9 @@ def _queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     # sources and sinks
     q["csv_source"] = _with_fx(_raw_csv)
+    # files with other column orders, encodings, line breaks in fields, and ragged rows
+    q["csv_awkward_files"] = _with_fx(lambda fx: CSV.read_orders_csv(fx.spark, _awkward_csv(fx), max_surplus=None))
+    q["csv_ragged_rows"] = _with_fx(_awkward_report)
     q["report_source"] = _with_fx(_report_lines)
     q["recommendation_source"] = _with_fx(_pairs_csv)
     q["star_sink"] = _with_fx(lambda fx: _counts(fx.star.tables()))

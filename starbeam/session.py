@@ -66,7 +66,25 @@ def work_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared work folder."""
     base = work_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+# the paths that ``new_path`` gave out in each open ``scratch`` block
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the folders that the block wrote under ``new_path`` (numbered tables, prefix sums) when it ends."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove_path(spark, path)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

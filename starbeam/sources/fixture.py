@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.numbering import assign_surrogate_keys
+from ..schema import SOURCE_COLUMNS, SOURCE_HEADERS
 
 LINEITEM_COLUMNS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -127,6 +128,43 @@ def raw_orders(flat: DataFrame) -> DataFrame:
     return base.unionByName(dups)
 
 
+def write_awkward_csv(raw: DataFrame, path: str) -> None:
+    """``raw`` as three folders of CSV files that differ in ways that real exports do (the oracle applies the same rules).
+
+    Every customer name gets an accented letter, and where ``row_id % 11 = 0``
+    the product name a line break and quotes.  ``row_id % 3`` deals the rows:
+    0, UTF-8 with a byte order mark, the record's column order; 1, Latin-1,
+    columns reversed, a surplus field where ``row_id % 17 = 0``; 2, UTF-8
+    with carriage returns, customer and product id changed places and the
+    segment last, which is missing where ``row_id % 13 = 0``.
+    """
+    back = {v: k for k, v in SOURCE_HEADERS.items()}
+    rid = F.col("row_id").cast("long")
+    broken = F.concat("product_name", F.lit('\n"x", y'))
+    rows = raw.withColumns({"customer_name": F.concat("customer_name", F.lit(" é")),
+                            "product_name": F.when(rid % 11 == 0, broken).otherwise(F.col("product_name"))})
+    swap = {"customer_id": "product_id", "product_id": "customer_id"}
+    orders = [SOURCE_COLUMNS, SOURCE_COLUMNS[::-1],
+              [swap.get(c, c) for c in SOURCE_COLUMNS if c != "segment"] + ["segment"]]
+    for part, columns in enumerate(orders):
+        named = [F.coalesce(c, F.lit("")).alias(c) for c in columns]
+        header = ",".join(back[c] for c in columns)
+        line = F.to_csv(F.struct(*named), {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": ""})
+        if part == 0:
+            header = "\ufeff" + header
+        elif part == 1:
+            line = F.when(rid % 17 == 0, F.concat(line, F.lit(",surplus"))).otherwise(line)
+        else:
+            short = F.to_csv(F.struct(*named[:-1]), {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": ""})
+            line = F.concat(F.when(rid % 13 == 0, short).otherwise(line), F.lit("\r"))
+            header += "\r"
+        some = rows.filter(rid % 3 == part).select(line.alias("value"))
+        encoded = some if part != 1 else some.select(F.encode("value", "ISO-8859-1").cast("string").alias("value"))
+        # one file of test data, its header first
+        first = raw.sparkSession.createDataFrame([(header,)], "value string").coalesce(1)
+        first.unionAll(encoded).coalesce(1).write.text(f"{path}/part{part}")
+
+
 BATCH_CUTOFF = "1995-06-01"
 
 
