@@ -44,6 +44,14 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like the given ones that ``df`` does not have, nor with an underscore more."""
+    mark = "_"
+    while any(c.lower().startswith(f"{mark}{n}") for c in df.columns for n in names):
+        mark += "_"
+    return [mark + n for n in names]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

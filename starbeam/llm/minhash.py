@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import frozen, let, words
+from .common import fresh, frozen, let, words
 from .wordhash import mix, range_hashes, text_bytes, word_spans
 
 SHINGLE = 5
@@ -158,19 +158,17 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataF
     return both.filter(F.col("i") >= similarity * (F.col("n") - F.col("i"))).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """For every row of ``docs`` (doc_id, text): doc_id, class_id (the smallest doc_id of its class), kept.
+def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """For every row of ``docs`` (doc_id, text): doc_id, content (MD5 of the text), class_id and kept, see ``near_duplicates``.
 
-    ``kept`` is true for the row whose id is the class's.  Equal texts are of
-    one class.  A null or empty text, or one of white space only, has no
-    shingles and is a class of its own, as is a row without a doc_id (its
-    class_id is null).  Repeated rows get equal results.  An empty table
-    gives an empty result.
+    What is linked are texts, each a node of its own, so rows that share an
+    id and differ in text stay apart unless their texts are near.
     """
     signed = frozen(band_keys(docs, bands, rows), "minhash-bands")
     texts = signed.filter(F.col("bands").isNotNull() & F.col("doc_id").isNotNull()).groupBy("content").agg(
-        F.min("doc_id").alias("rep"), F.max("bands").alias("bands"))
-    texts = frozen(texts, "minhash-texts")
+        F.min("doc_id").alias("least_id"), F.max("bands").alias("bands"))
+    # a number for each text, fixed by the write
+    texts = frozen(texts.withColumn("rep", F.monotonically_increasing_id()), "minhash-texts")
     banded = texts.select("rep", F.posexplode("bands").alias("band", "key"))
     counted = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = frozen(banded.join(counted, ["band", "key"]), "minhash-shared")
@@ -179,8 +177,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     members = frozen(shared.drop("n").join(central, "rep"), "minhash-members")
     leaders = members.groupBy("band", "key").agg(F.min(F.struct(-F.col("score"), "rep")).alias("l"))
     leaders = leaders.select("band", "key", F.col("l.rep").alias("leader"))
-    candidates = central.select(F.col("rep").alias("doc_id"))
-    sets = docs.join(candidates, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), shingle_set(F.col("text")).alias("shingles"))
+    # one row of each text that shares a bucket
+    candidates = texts.join(central.select("rep"), "rep").select("rep", F.col("least_id").alias("doc_id"), "content")
+    named = docs.select("doc_id", "text", F.unhex(F.md5("text")).alias("content"))
+    sets = named.join(candidates, ["doc_id", "content"]).select("rep", shingle_set(F.col("text")).alias("shingles"))
     sets = frozen(sets.dropDuplicates(["rep"]).filter(F.size("shingles") > 0), "minhash-sets")
     first = members.join(leaders, ["band", "key"]).filter(F.col("rep") != F.col("leader"))
     first = first.select(F.greatest("rep", "leader").alias("b"), F.least("rep", "leader").alias("a")).distinct()
@@ -198,8 +198,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     # of a text's shingles, how many some other open text has, and how many more than RARE texts have
     bound = single.join(often, "s").groupBy("rep").agg(
         F.first("n").alias("n"), F.count(F.lit(1)).alias("most"), F.sum(F.when(F.col("df") > RARE, 1).otherwise(0)).alias("core"))
-    named = mixed.select("rep", "class").distinct()
-    able = frozen(bound.filter(F.col("most") >= similarity * F.col("n")).join(named, "rep"), "minhash-able")
+    classed = mixed.select("rep", "class").distinct()
+    able = frozen(bound.filter(F.col("most") >= similarity * F.col("n")).join(classed, "rep"), "minhash-able")
 
     def pairs(rows: DataFrame, on: list[str], most: str) -> DataFrame:
         """Pairs of two classes that meet in ``on`` and could have enough in common, by the count ``most``."""
@@ -217,9 +217,38 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     more = similar_pairs(rest, sets, similarity)
     final = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
-    classes = texts.select("content", "rep").join(final, F.col("rep") == F.col("node"), "left")
-    classes = classes.select(F.col("content").alias("_c"), F.coalesce("component", "rep").alias("_class"))
+    classes = texts.select("content", "rep", "least_id").join(final, F.col("rep") == F.col("node"), "left")
+    classes = classes.select("content", "least_id", F.coalesce("component", "rep").alias("class"))
+    best = classes.groupBy("class").agg(F.min(F.struct("least_id", "content")).alias("best"))
+    classes = classes.join(best, "class").select(F.col("content").alias("_c"), "best")
     out = signed.join(classes, (F.col("content") == F.col("_c")) & F.col("bands").isNotNull(), "left")
-    class_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("_class", "doc_id"))
-    return out.select("doc_id", class_id.alias("class_id")).withColumn(
-        "kept", F.col("doc_id").isNull() | (F.col("doc_id") == F.col("class_id")))
+    class_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("best.least_id", "doc_id"))
+    best_one = (F.col("doc_id") == F.col("best.least_id")) & (F.col("content") == F.col("best.content"))
+    return out.select("doc_id", "content", class_id.alias("class_id"),
+                      (F.col("doc_id").isNull() | F.col("bands").isNull() | best_one).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """For every row of ``docs`` (doc_id, text): doc_id, class_id (the smallest doc_id of its class), kept.
+
+    ``kept`` is true for the row whose id is the class's, and whose text is,
+    where rows of several texts have that id.  Equal texts are of one class.
+    Rows that share a doc_id and differ in text belong to the classes of
+    their texts; two such classes may bear the same class_id, and each keeps
+    a row.  A null or empty text, or one of white space only, has no
+    shingles and is a class of its own, as is a row without a doc_id (its
+    class_id is null).  Repeated rows get equal results.  An empty table
+    gives an empty result.
+    """
+    return near_classes(docs, similarity, bands, rows).drop("content")
+
+
+def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one of each class of ``near_duplicates``, all without a doc_id."""
+    c, i = fresh(docs, "content", "id")
+    kept = near_classes(docs, similarity).filter("kept AND doc_id IS NOT NULL")
+    kept = kept.select(F.col("doc_id").alias(i), F.col("content").alias(c)).distinct()
+    named = docs.filter(F.col("doc_id").isNotNull()).withColumn(c, F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    both = kept.withColumnsRenamed({i: i + "_", c: c + "_"})
+    one = named.join(both, (F.col("doc_id") == F.col(i + "_")) & (F.col(c) == F.col(c + "_")), "left_semi").dropDuplicates(["doc_id", c])
+    return one.drop(c).unionByName(docs.filter(F.col("doc_id").isNull()))
