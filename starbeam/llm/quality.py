@@ -146,14 +146,15 @@ def scored(docs: DataFrame, labels: DataFrame, id_columns: Sequence[str], thresh
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS,
                    smoothing: float = SMOOTHING, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
-    """Base counts, ``llr`` (the score) and ``kept`` for every row of ``docs`` (doc_id, text); other columns are not read.
+    """Base counts, ``kept`` and ``llr`` (the score) for every row of ``docs`` (doc_id, text); other columns are not read.
 
     A null or empty text has no words, fails the base rule and is not kept.
     Equal rows get equal results; an empty table gives an empty result; a
     null doc_id is never trusted.  Without labels the ratio keeps everything
     that passes the base rule.
     """
-    return scored(docs, labels, ["doc_id"], threshold, buckets, smoothing, trusted_rows)
+    out = scored(docs, labels, ["doc_id"], threshold, buckets, smoothing, trusted_rows)
+    return out.select(*[c for c in out.columns if c != "llr"], "llr")
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS,

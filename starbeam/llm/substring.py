@@ -118,7 +118,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """For every row of ``docs`` (doc_id, text): doc_id, n_words, n_removed, n_spans (maximal removed runs), kept_sha256.
+    """For every row of ``docs`` (doc_id, text): doc_id, n_words, n_removed, kept_sha256, n_spans (maximal removed runs).
 
     A null text counts as empty.  Repeated rows are documents of their own,
     so each holds the other's windows; they get equal results.  An empty table
@@ -129,4 +129,4 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     result = result.select("content", "n_words", span_length("spans").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
                            F.sha2("kept", 256).alias("kept_sha256"))
     ids = contents(docs).select("doc_id", F.col("content"))
-    return ids.join(result, "content").drop("content")
+    return ids.join(result, "content").select("doc_id", "n_words", "n_removed", "kept_sha256", "n_spans")

@@ -160,7 +160,7 @@ def plan_records(pages: DataFrame, smallest: int = SMALLEST) -> DataFrame:
     with the largest page_id is the response.  Captures without a page_id
     are always responses and never referred to.
     """
-    rows = pages.withColumn("html", F.coalesce("html", F.lit(""))).withColumn("digest", F.sha1("html"))
+    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), "time").withColumn("digest", F.sha1("html"))
     long = rows.filter((F.octet_length("html") >= smallest) & F.col("page_id").isNotNull())
     shared = long.groupBy("digest").agg(F.max("page_id").alias("_last"), F.min("page_id").alias("_first"))
     shared = shared.filter("_first <> _last").select(F.col("digest").alias("_d"), "_last")
