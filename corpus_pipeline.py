@@ -6,18 +6,20 @@ returns what it holds of each.  ``run`` writes every stage's result as a
 Parquet table in the shared folder and reads it back as the next one's input.
 
 In every stage a null text counts as empty.  Repeated rows are judged alike;
-near-duplicate removal leaves one row of each class.  Columns that are not
+near-duplicate removal leaves one row of each class of texts.  Columns that are not
 mentioned pass through.
 """
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starbeam.llm.common import frozen, shared_path, table
+from starbeam.llm.common import fresh, frozen, shared_path, table
 from starbeam.llm.decontam import contamination
-from starbeam.llm.minhash import near_duplicates
+from starbeam.llm.minhash import one_of_each
 from starbeam.llm.mixing import mix_sources
 from starbeam.llm.pii import mask_personal_data
 from starbeam.llm.quality import quality_filter
@@ -29,18 +31,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each near-duplicate class, and rows without an id."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id")).filter("_id IS NOT NULL").distinct()
-    named = docs.filter(F.col("doc_id").isNotNull())
-    one = named.join(kept, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.filter(F.col("doc_id").isNull()))
+    """Keeps one row of each near-duplicate class, that with the smallest id, and rows without an id.
+
+    Rows that share an id and differ in text are judged by their texts.
+    """
+    return one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops contaminated documents."""
+    i, h = fresh(docs, "id", "hash")
     found = contamination(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    found = found.select(F.col("doc_id").alias(i), F.col("text_hash").alias(h)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(i)) & (F.xxhash64("text") == F.col(h))
     return docs.join(found, same, "left_anti")
 
 
@@ -54,7 +57,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str, corpus: str | None =
 
     The result is what it holds of each document: doc_id, size, source_size, target, taken.
     """
-    return mix_sources(docs, path=corpus or shared_path(spark, "pipeline-corpus"))
+    corpus = corpus or shared_path(spark, "pipeline-corpus")
+    print(f"mixed corpus: {corpus}", file=sys.stderr)
+    return mix_sources(docs, path=corpus)
 
 
 STAGES = [

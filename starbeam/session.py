@@ -8,11 +8,15 @@ process and points the session at it.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,6 +76,28 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives the Python workers this package (once a session), wherever they start.
+
+    Spark distributes the archive; no worker reads the folder it came from.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="starbeam-ship-")  # the driver serves the archive from here as long as it runs
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/starbeam.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 # the paths that ``new_path`` gave out in each open ``scratch`` block
 _SCOPES: list[list[str]] = []
 
