@@ -630,6 +630,11 @@ BODIES: dict[str, str] = {
     "date_filter": f"""SELECT d.month, {MONEY('SUM(fo.sales)')} AS total_revenue,
         COUNT(DISTINCT fo.order_id) AS order_count FROM fact fo JOIN dim_date_full d ON fo.order_date_key = d.date_key
         WHERE d.year = 1996 GROUP BY d.month ORDER BY d.month""",
+    "rank_of_order_lines": """SELECT order_line_key, ship_mode_key, CAST(sales AS DOUBLE) AS sales,
+        rank() OVER (PARTITION BY ship_mode_key ORDER BY sales DESC) AS rank,
+        dense_rank() OVER (PARTITION BY ship_mode_key ORDER BY sales DESC) AS dense_rank FROM fact""",
+    "previous_order_line": """SELECT order_line_key, CAST(sales AS DOUBLE) AS sales,
+        CAST(lag(sales) OVER (ORDER BY order_line_key) AS DOUBLE) AS previous_sales FROM fact""",
     "rank_within": f"""SELECT category, sub_category, total_revenue,
         CAST(RANK() OVER w AS BIGINT) AS "rank", CAST(DENSE_RANK() OVER w AS BIGINT) AS "dense_rank",
         CAST(ROW_NUMBER() OVER w AS BIGINT) AS "row_number"

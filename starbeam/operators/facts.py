@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import FACT_COLUMNS, MONEY, RATE
+from .distinct import ORDER_NO, number_orders
 from .numbering import assign_surrogate_keys
 
 GEO_KEY = ["postal_code", "city", "state"]
@@ -90,7 +91,8 @@ def number_facts(facts: DataFrame) -> DataFrame:
 
 def load_facts(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Add the incoming fact rows whose ``row_id`` is not loaded yet."""
-    return existing.select(*FACT_COLUMNS).unionByName(new_facts(existing, incoming))
+    added = new_facts(existing, incoming)
+    return existing.select(*added.columns).unionByName(added)
 
 
 def empty_facts(spark) -> DataFrame:
@@ -99,7 +101,7 @@ def empty_facts(spark) -> DataFrame:
         [],
         "order_line_key long, row_id long, order_id string, order_date_key int, ship_date_key int, "
         "ship_mode_key long, customer_key long, geography_key long, product_key long, sales decimal(12,4), "
-        "quantity int, discount decimal(5,4), profit decimal(12,4), revenue_after_discount decimal(12,4)",
+        "quantity int, discount decimal(5,4), profit decimal(12,4), revenue_after_discount decimal(12,4), order_no long",
     )
 
 
@@ -107,11 +109,15 @@ def new_facts(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """E15b, only the added rows: incoming rows with an unseen ``row_id``, keyed
     after the largest loaded ``order_line_key``.  Incoming rows sharing a
     ``row_id`` keep one, the first in (row_id, other columns) order, as an
-    insert that skips conflicts keeps the first."""
+    insert that skips conflicts keeps the first.  Where the existing facts have
+    order numbers (``distinct.number_orders``), the added ones get theirs."""
     rest = [c for c in FACT_COLUMNS if c not in ("order_line_key", "row_id")]
     after = existing.agg(F.coalesce(F.max("order_line_key"), F.lit(0)) + 1).scalar()
-    added = assign_surrogate_keys(_unseen(existing, incoming), ["row_id"], "order_line_key", start=after, unique=rest)
-    return added.select(*FACT_COLUMNS)
+    unseen, columns = _unseen(existing, incoming.drop(ORDER_NO)), [*FACT_COLUMNS]
+    if ORDER_NO in existing.columns:
+        unseen, columns = number_orders(existing, unseen), [*FACT_COLUMNS, ORDER_NO]
+    # ranges of row id: neighbouring rows hold neighbouring order numbers
+    return assign_surrogate_keys(unseen, ["row_id"], "order_line_key", start=after, unique=rest).select(*columns)
 
 
 def _unseen(existing: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -23,7 +23,9 @@ from ..operators import dims as DM
 from ..operators import facts as FA
 from ..operators import recs as RC
 from ..operators.numbering import assign_surrogate_keys
+from ..operators.ranking import lagged, ranked
 from ..operators.upsert import upsert_ignore, upsert_update
+from ..schema import FACT_COLUMNS
 from ..session import new_path
 from ..sources import csv as CSV
 from ..sources.fixture import BATCH_CUTOFF, LINEITEM_COLUMNS, order_batches, raw_orders, table, write_awkward_csv
@@ -332,7 +334,7 @@ def _queries() -> dict[str, Query]:
     q["fact_resolve_keys"] = _star(lambda s: s.fact_orders.select(
         "row_id", "customer_key", "product_key", "geography_key", "ship_mode_key"))
     q["fact_skipped"] = _with_fx(_e14b)
-    q["fact_project"] = _star(lambda s: s.fact_orders)
+    q["fact_project"] = _star(lambda s: s.fact_orders.select(*FACT_COLUMNS))
     q["fact_load_idempotent"] = _with_fx(_e15b)
     q["publish_atomic"] = _with_fx(_e16)
     q["load_summary"] = _with_fx(_e17)
@@ -376,6 +378,12 @@ def _queries() -> dict[str, Query]:
     q["date_filter"] = _with_fx(_f4)
     q["rank_within"] = _with_fx(_f5)
     q["period_over_period"] = _with_fx(_f6)
+    # the same over every order line, whatever share of them a group holds
+    q["rank_of_order_lines"] = _star(lambda s: ranked(
+        s.fact_orders.select("order_line_key", "ship_mode_key", "sales"), ["ship_mode_key"], [F.col("sales").desc()],
+        ("rank", "dense_rank")))
+    q["previous_order_line"] = _star(lambda s: lagged(
+        s.fact_orders.select("order_line_key", "sales"), [], ["order_line_key"], "sales", "previous_sales"))
     q["top_n_default"] = _with_fx(_f7)
     q["default_order"] = _with_fx(_f8)
     return q

@@ -10,7 +10,9 @@ keys they need (``rollup``) and join the dimension to those partial sums.
 Sums of DECIMAL sums are exact, so results are unchanged; the join then
 sees one row per key and task instead of every order line, which matters
 when a dimension is too large to broadcast and the join has to shuffle.
-Queries with ``COUNT(DISTINCT order_id)`` join first.
+Orders are counted by bitmaps of their numbers where the groups come from
+small dimensions (GQ-05, GQ-07; ``operators.distinct``); by customer (GQ-03,
+GQ-08) the query joins first and counts distinct ids.
 """
 
 from __future__ import annotations
@@ -18,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.measures import avg_of, days, discount_tier, margin_pct, money, pct, round_to, safe_ratio
+from ..functions.measures import days, discount_tier, margin_pct, money, pct, round_to, safe_ratio
+from ..operators.distinct import ORDER_NO, block, orders_seen, united_orders, with_orders
 from .star import Star
 
 
@@ -92,14 +95,16 @@ def yoy_trend(star: Star) -> DataFrame:
 
 def loss_states(star: Star) -> DataFrame:
     """GQ-05: (state, region) groups with negative total profit, worst first."""
+    if ORDER_NO in star.fact_orders.columns:
+        per_place = star.fact_orders.groupBy("geography_key", block()).agg(
+            orders_seen().alias("_orders"), F.sum("sales").alias("_rev"), F.sum("profit").alias("_profit"))
+        placed = per_place.join(star.dim_geography.select("geography_key", "state", "region"), "geography_key")
+        states = united_orders(placed, ["state", "region"], "order_count", ["_rev", "_profit"])
+    else:
+        states = star.fact_orders.join(star.dim_geography, "geography_key").groupBy("state", "region").agg(
+            F.sum("sales").alias("_rev"), F.sum("profit").alias("_profit"), F.countDistinct("order_id").alias("order_count"))
     return (
-        star.fact_orders.join(star.dim_geography, "geography_key")
-        .groupBy("state", "region")
-        .agg(
-            F.sum("sales").alias("_rev"),
-            F.sum("profit").alias("_profit"),
-            F.countDistinct("order_id").alias("order_count"),
-        )
+        states
         .filter(F.col("_profit") < 0)
         .select(
             "state", "region",
@@ -144,20 +149,24 @@ def ship_mode_efficiency(star: Star) -> DataFrame:
     """GQ-07: per ship mode: lines, orders, average profit and sales per line, days to ship."""
     order_d = star.dim_date.select(F.col("date_key").alias("order_date_key"), F.col("full_date").alias("_od"))
     ship_d = star.dim_date.select(F.col("date_key").alias("ship_date_key"), F.col("full_date").alias("_sd"))
-    return (
+    lines = (
         star.fact_orders.join(star.dim_ship_mode, "ship_mode_key")
         .join(order_d, "order_date_key")
         .join(ship_d, "ship_date_key")
-        .groupBy("ship_mode")
-        .agg(
-            F.count(F.lit(1)).alias("order_line_count"),
-            F.countDistinct("order_id").alias("unique_orders"),
-            round_to(avg_of("profit"), 2).alias("avg_profit_per_line"),
-            round_to(avg_of("sales"), 2).alias("avg_revenue_per_line"),
-            days(avg_of(F.datediff(F.col("_sd"), F.col("_od")))).alias("avg_days_to_ship"),
-        )
-        .orderBy(F.col("avg_profit_per_line").desc_nulls_first(), "ship_mode")
+        .withColumn("_days", F.datediff(F.col("_sd"), F.col("_od")))
     )
+    measured = ("profit", "sales", "_days")
+    sums = {f"{c}_sum": F.sum(c) for c in measured} | {f"{c}_n": F.count(c) for c in measured} | {"order_line_count": F.count(F.lit(1))}
+    if ORDER_NO in star.fact_orders.columns:
+        modes = with_orders(lines, ["ship_mode"], "unique_orders", **sums)
+    else:
+        modes = lines.groupBy("ship_mode").agg(F.countDistinct("order_id").alias("unique_orders"), *[c.alias(n) for n, c in sums.items()])
+    return modes.select(
+        "ship_mode", "order_line_count", "unique_orders",
+        round_to(safe_ratio("profit_sum", "profit_n"), 2).alias("avg_profit_per_line"),
+        round_to(safe_ratio("sales_sum", "sales_n"), 2).alias("avg_revenue_per_line"),
+        days(safe_ratio("_days_sum", "_days_n")).alias("avg_days_to_ship"),
+    ).orderBy(F.col("avg_profit_per_line").desc_nulls_first(), "ship_mode")
 
 
 def segment_quarterly(star: Star) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import discount_tier, safe_ratio, tier_condition
+from ..operators.distinct import BLOCK, ORDER_NO, block, orders_seen
 from .star import Star, vds_recommendations
 
 # ------------------------------------------------------------------ datasets
@@ -98,6 +99,10 @@ class Metric:
     build: Callable[[], Column]
     parts: Callable[[], dict[str, Column]] | None = None
     final: Callable[[], Column] | None = None
+    #: how parts of the same group combine
+    merge: Callable[[str], Column] = F.sum
+    #: ``final`` counts the orders in the bitmaps ``_orders`` (see ``operators.distinct``)
+    counts_orders: bool = False
 
 
 def _sum_metric(name: str, expr: Callable[[], Column], cols, cast: str | None = None) -> Metric:
@@ -131,12 +136,15 @@ NAMED_METRICS = {
                                        ["profit", "sales"], 100.0),
     "total_quantity": _sum_metric("total_quantity", lambda: F.col("quantity"), ["quantity"], "long"),
     "avg_order_value": Metric("avg_order_value", ("sales", "order_id"),
-                              lambda: safe_ratio(F.sum("sales"), _distinct_orders())),
+                              lambda: safe_ratio(F.sum("sales"), _distinct_orders()),
+                              lambda: {"_order_sales": F.sum("sales")},
+                              lambda: safe_ratio(F.sum("_order_sales"), F.sum(F.bitmap_count("_orders"))), counts_orders=True),
     "revenue_after_discount": _sum_metric("revenue_after_discount", lambda: F.col("revenue_after_discount"),
                                           ["revenue_after_discount"]),
     "total_discount_impact": _sum_metric("total_discount_impact", lambda: F.col("sales") * F.col("discount"),
                                          ["sales", "discount"]),
-    "order_count": Metric("order_count", ("order_id",), lambda: _distinct_orders().cast("long")),
+    "order_count": Metric("order_count", ("order_id",), lambda: _distinct_orders().cast("long"),
+                          lambda: {}, lambda: F.sum(F.bitmap_count("_orders")).cast("long"), counts_orders=True),
 }
 
 
@@ -161,7 +169,7 @@ def adhoc(aggregate: str, column: str, label: str | None = None) -> Metric:
     if agg in ("MIN", "MAX"):
         fn = F.min if agg == "MIN" else F.max
         return Metric(name, (column,), lambda: fn(column).cast("double"),
-                      lambda: {part: fn(column)}, lambda: fn(part).cast("double"))
+                      lambda: {part: fn(column)}, lambda: fn(part).cast("double"), fn)
     if agg == "COUNT_DISTINCT":
         return Metric(name, (column,), lambda: F.countDistinct(column).cast("long"))
     raise ValueError(f"unknown aggregate {aggregate!r}")
@@ -204,7 +212,9 @@ def metric_query(
     # the fact on one foreign key is no larger than that dimension; on several keys, or on a key and
     # a fact column, it comes near its own size, and joining first sends only the final groups
     few = len(set(used) - {"fact"}) + sum(spec.get(c, ("fact", c))[0] == "fact" for c in groupby) <= 1
-    if few and all(m.parts is not None for m in ms):
+    # dimensions that don't grow with the data, so that bitmaps are few (operators.distinct)
+    countable = ORDER_NO in star.fact_orders.columns and set(used) <= {"dim_date", "dim_geography", "dim_ship_mode"}
+    if few and all(m.parts is not None and (countable or not m.counts_orders) for m in ms):
         out, keys = _rolled(star, dataset, ms, list(groupby), list(filters), time_col, grain)
     else:
         out, keys = _direct(star, dataset, ms, list(groupby), list(filters), time_col, grain)
@@ -247,7 +257,7 @@ def _grain(df: DataFrame, time_col: str | None, grain: str | None, keys: list[st
 
 
 def _direct(star, dataset, ms, groupby, filters, time_col, grain):
-    """Join the needed dimensions to every fact row, then aggregate (needed for distinct counts)."""
+    """Join the needed dimensions to every fact row, then aggregate (any metric)."""
     cols = list(dict.fromkeys(
         [*groupby, *[f[0] for f in filters], *[c for m in ms for c in m.columns], *([time_col] if time_col else [])]
     ))
@@ -261,7 +271,7 @@ def _direct(star, dataset, ms, groupby, filters, time_col, grain):
 
 def _rolled(star, dataset, ms, groupby, filters, time_col, grain):
     """Aggregate the fact on the foreign keys first, join dimensions to the partial
-    aggregates, then combine them (additive metrics only)."""
+    aggregates, then combine them (additive metrics, and counts of orders by bitmaps)."""
     spec = DATASETS[dataset]
     wanted = [*groupby, *[f[0] for f in filters], *([time_col] if time_col else [])]
     unknown = [c for c in wanted + [c for m in ms for c in m.columns] if c not in spec]
@@ -288,8 +298,9 @@ def _rolled(star, dataset, ms, groupby, filters, time_col, grain):
             fact_keys.append((discount_tier(F.col("discount"), "ascii") if c == "discount_tier"
                               else F.col(spec[c][1])).alias(c))
     parts = {k: v for m in ms for k, v in m.parts().items()}
-    roll = fact.groupBy(*[_JOIN_KEY[t][0] for t in tables], *fact_keys).agg(
-        *[v.alias(k) for k, v in parts.items()]
+    orders = any(m.counts_orders for m in ms)
+    roll = fact.groupBy(*[_JOIN_KEY[t][0] for t in tables], *fact_keys, *([block()] if orders else [])).agg(
+        *[v.alias(k) for k, v in parts.items()], *([orders_seen().alias("_orders")] if orders else [])
     )
     for t in tables:
         fk, pk = _JOIN_KEY[t]
@@ -297,6 +308,9 @@ def _rolled(star, dataset, ms, groupby, filters, time_col, grain):
         roll = roll.join(star.tables()[t].select(F.col(pk).alias(fk), *[F.col(spec[c][1]).alias(c) for c in own]),
                          fk)
     roll, keys = _grain(roll, time_col, grain, groupby)
+    if orders:  # an order that several keys of one group have is in each of their bitmaps
+        merged = {k: m.merge(k) for m in ms for k in m.parts()}
+        roll = roll.groupBy(*keys, BLOCK).agg(F.bitmap_or_agg("_orders").alias("_orders"), *[v.alias(k) for k, v in merged.items()])
     aggs = [m.final().alias(m.name) for m in ms]
     return (roll.groupBy(*keys).agg(*aggs) if keys else roll.agg(*aggs)), keys
 
