@@ -201,19 +201,23 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
     classed = mixed.select("rep", "class").distinct()
     able = frozen(bound.filter(F.col("most") >= similarity * F.col("n")).join(classed, "rep"), "minhash-able")
 
-    def pairs(rows: DataFrame, on: list[str], most: str) -> DataFrame:
+    def pairs(rows: DataFrame, on: list[str], most: str, once: Column = F.lit(True)) -> DataFrame:
         """Pairs of two classes that meet in ``on`` and could have enough in common, by the count ``most``."""
         x, y = rows.alias("x"), rows.alias("y")
         meet = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in on]
         common = F.least(f"x.{most}", f"y.{most}")
         fits = common >= similarity * (F.col("x.n") + F.col("y.n") - common)
-        both = x.join(y, reduce(and_, [*meet, F.col("x.class") < F.col("y.class"), fits]))
+        both = x.join(y, reduce(and_, [*meet, F.col("x.class") < F.col("y.class"), fits, once]))
         return both.select(F.greatest("x.rep", "y.rep").alias("b"), F.least("x.rep", "y.rep").alias("a"))
 
     # two texts share a rare shingle, or have only core ones in common
     rare = single.select("rep", "s").join(often.filter(F.col("df") <= RARE).select("s"), "s").join(able, "rep")
     central_pairs = mixed.drop("class").join(able.filter(F.col("core") >= similarity * F.col("n")), "rep")
-    rest = pairs(rare, ["s"], "most").union(pairs(central_pairs, ["band", "key"], "core")).distinct()
+    central_pairs = central_pairs.join(texts.select("rep", "bands"), "rep")
+    # two texts meet in the first band that they have in common, not in each
+    earlier = [F.slice(f"{side}.bands", F.lit(1), F.col("x.band")) for side in ("x", "y")]
+    first_band = ~F.exists(F.zip_with(*earlier, lambda a, b: a == b), lambda t: t)
+    rest = pairs(rare, ["s"], "most").union(pairs(central_pairs, ["band", "key"], "core", first_band)).distinct()
     more = similar_pairs(rest, sets, similarity)
     final = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
