@@ -7,13 +7,16 @@ conversation is reported as such.  Where a turn's text stands inside its
 piece is found by two probes, which differ in the text only: what both begin
 and end with is the frame, the rest is the text.
 
-Rows are dealt by conversation and sorted, and pass as a stream: a task holds
-one conversation's turns so far, all of which every prefix is rendered from.
+Rows are dealt by conversation and sorted; a task holds the turns and pieces
+of one conversation, as every prefix is rendered from its turns.
 A template whose pieces depend on their own turn alone can say so by an
 attribute ``by_turn``; then, and only then, a conversation of more than
-``LONG`` turns is rendered on its first turn and its last ``RECENT`` ones,
-which gives the same pieces.  Pieces are written one row a turn, so no row
-holds a whole conversation.
+``LONG`` turns is rendered on its first turn and its last ``RECENT`` ones.
+The declaration is checked: at each doubling of the turns and at the end the
+whole prefix is rendered and compared with the pieces so far (a cost in
+proportion to the turns), and where they differ, every prefix of that
+conversation is rendered.  Pieces are written one row a turn, so no row holds
+a whole conversation.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ Template = Callable[[Sequence[Turn]], str]
 
 #: by a template with ``by_turn``, a conversation of more turns is rendered on its first turn and the last RECENT ones
 LONG, RECENT = 256, 32
+#: characters of pieces that go out together
+STRETCH = 4 << 20
 LEARNED_ROLE = "assistant"
 START, END = "<|im_start|>", "<|im_end|>"
 _CONTROL = re.compile(r"<(\\*)\|")
@@ -63,9 +68,9 @@ def common_end(a: str, b: str) -> int:
 class Renderer:
     """Renders one conversation turn by turn."""
 
-    def __init__(self, template: Template, frames: dict[str, tuple[str, str]]) -> None:
+    def __init__(self, template: Template, frames: dict[str, tuple[str, str]], every_prefix: bool = False) -> None:
         self.template, self.frames = template, frames
-        self.by_turn = getattr(template, "by_turn", False)
+        self.by_turn = getattr(template, "by_turn", False) and not every_prefix
         self.turns: list[Turn] = []
         self.before = template([])
         self.length = len(self.before)
@@ -104,6 +109,25 @@ class Renderer:
         return piece, begin, end
 
 
+Piece = tuple[str, int, int, bool]
+
+
+def rendered(template: Template, turns: Sequence[Turn], frames: dict[str, tuple[str, str]]) -> list[Piece]:
+    """Piece, begin, end (see ``Renderer.add``) and whether history was rewritten, for each turn.
+
+    A declaration ``by_turn`` that turns out wrong has no effect: every prefix is rendered then.
+    """
+    renderer, out, check = Renderer(template, frames), [], LONG
+    for k, turn in enumerate(turns, 1):
+        out.append((*renderer.add(*turn), renderer.rewrote))
+        if renderer.by_turn and (renderer.rewrote or k > LONG and (k == len(turns) or k >= 2 * check)):
+            if renderer.rewrote or template(turns[:k]) != "".join(piece for piece, *_ in out):
+                exact = Renderer(template, {}, every_prefix=True)
+                return [(*exact.add(*t), exact.rewrote) for t in turns]
+            check = k
+    return out
+
+
 def in_order(conversations: DataFrame) -> DataFrame:
     """Rows of a conversation together, by turn, then role and text; nulls first."""
     return conversations.select(
@@ -123,23 +147,40 @@ def format_conversations(conversations: DataFrame, template: Template = chatml,
     """
     id_type = conversations.schema["conv_id"].dataType.simpleString()
     names = ["conv_id", "seq", "piece", "begin", "end", "rewrote"]
+    types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frames: dict[str, tuple[str, str]] = {}
-        key, conversation, seq = object(), None, 0
+        key, turns, arrow_id = object(), [], None
+        held: list[tuple] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal size
+            columns = [pa.array(c, t) for c, t in zip(zip(*held, strict=True), (arrow_id, *types), strict=True)]
+            held.clear()
+            size = 0
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+        def close() -> Iterator[pa.RecordBatch]:
+            nonlocal size
+            for seq, ((role, _), (piece, begin, end, rewrote)) in enumerate(zip(turns, rendered(template, turns, frames), strict=True)):
+                taught = role == learned and begin >= 0
+                held.append((key, seq, piece, begin if taught else None, end if taught else None, rewrote))
+                size += len(piece)
+                if size >= STRETCH or len(held) >= 10_000:
+                    yield flush()
+
         for batch in batches:
-            out = []
-            ids = batch.column("conv_id").to_pylist()
-            for conv, role, text in zip(ids, batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            arrow_id = batch.schema.field("conv_id").type
+            for conv, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text")), strict=True):
                 if conv != key:
-                    key, conversation, seq = conv, Renderer(template, frames), 0
-                piece, begin, end = conversation.add(role, text)
-                taught = role == learned and begin >= 0
-                out.append((seq, piece, begin if taught else None, end if taught else None, conversation.rewrote))
-                seq += 1
-            if out:
-                columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_()), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("conv_id"), *columns], names=names)
+                    yield from close()
+                    key, turns = conv, []
+                turns.append((role, text))
+        yield from close()
+        if held:
+            yield flush()
 
     return in_order(conversations).mapInArrow(run, f"conv_id {id_type}, seq long, piece string, begin long, end long, rewrote boolean")
 

@@ -458,6 +458,39 @@ def test_templates_of_the_turn_number():
     assert [from_the_second(turns)[begin:end] for begin, end in spans] == ["one", "two"]
 
 
+def test_declared_by_turn_is_checked():
+    """A template that declares by_turn wrongly gets the pieces, spans and rewrites of one that doesn't declare it."""
+    def numbered(turns):
+        return "".join(f"{i}:{role}|{text}\n" for i, (role, text) in enumerate(turns))
+
+    def late(turns):
+        return "".join(f"[{role}] {text[:3] if i == 100 and len(turns) >= 270 else text}\n" for i, (role, text) in enumerate(turns))
+
+    def early(turns):
+        """Rewrites below LONG turns."""
+        return "".join(f"[{role}] {text if len(turns) < 20 else text[:4]}\n" for role, text in turns)
+
+    for n in (chat.LONG + 5, 3 * chat.LONG):
+        turns = [(("user", "assistant")[i % 2], f"turn {i}") for i in range(n)]
+        for template in (numbered, late, early):
+            want = chat.rendered(template, turns, {})
+            template.by_turn = True
+            assert chat.rendered(template, turns, {}) == want
+            del template.by_turn
+        calls = []
+
+        def counted(turns, calls=calls):
+            calls.append(len(turns))
+            return chat.chatml(turns)
+
+        counted.by_turn = True
+        got = chat.rendered(counted, turns, {})
+        assert "".join(p for p, *_ in got) == chat.chatml(turns) and not any(r for *_, r in got)
+        # whole prefixes: the end's, and those at doublings
+        assert [c for c in calls if c > chat.LONG + 1] == ([n] if n < 2 * chat.LONG else [2 * chat.LONG, n])
+    assert chat.rendered(chat.chatml, [], {}) == []
+
+
 def test_escape_round_trip():
     rng = random.Random(9)
     for _ in range(3000):
