@@ -48,13 +48,40 @@ def audit_unique(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(parts)
 
 
+def _broadcastable(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate of ``df`` is within its broadcast limit."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+
+def _orphans_in_one_scan(df: DataFrame, table: str, fks: list[tuple[str, str, str]], tables: dict[str, DataFrame]) -> DataFrame:
+    """D3 for keys of dimensions that Spark broadcasts: ``df`` is read once and probes all of them."""
+    rows = df.select(*[F.col(col).cast("long").alias(f"v{i}") for i, (col, _, _) in enumerate(fks)])
+    for i, (_, dim, key) in enumerate(fks):
+        # a faulty dimension may hold a key twice
+        held = tables[dim].select(F.col(key).cast("long").alias(f"k{i}")).distinct()
+        rows = rows.join(held, F.col(f"v{i}") == F.col(f"k{i}"), "left")
+    items = [f"{col}->{dim}" for col, dim, _ in fks]
+    counts = [F.count_if(F.col(f"v{i}").isNotNull() & F.col(f"k{i}").isNull()).alias(item) for i, item in enumerate(items)]
+    return _long(rows.agg(*counts), table, items)
+
+
+def _orphans_by_value(df: DataFrame, table: str, fk: tuple[str, str, str], tables: dict[str, DataFrame]) -> DataFrame:
+    """D3 for the key of a larger dimension: its values are counted map-side, so the shuffle
+    carries different values only, and the dimension joins on the partitioning of the counts."""
+    col, dim, key = fk
+    value = F.col(col).cast("long").alias("v")
+    held = df.filter(F.col(col).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+    orphans = held.join(tables[dim].select(F.col(key).cast("long").alias("v")), "v", "left_anti")
+    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
+        F.lit(table).alias("table_name"), F.lit(f"{col}->{dim}").alias("item"), "n")
+
+
 def audit_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
     """D3: fact rows (and recommendation rows) whose key is not in the dimension.
 
-    One pass over the bare key column for each key: its values are counted
-    map-side, so a shuffle carries different values only, and values that the
-    dimension lacks remain (a small dimension is broadcast by Spark, a large
-    one joins on the partitioning of the counts).
+    One scan for all keys of dimensions within Spark's broadcast limit; a
+    pass over the bare key column for each larger one.
     """
     parts = []
     checks = {"fact_orders": FOREIGN_KEYS}
@@ -64,13 +91,12 @@ def audit_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
             ("recommended_product_key", "dim_product", "product_key"),
             ("date_key", "dim_date", "date_key"),
         ]
+    small = {dim: _broadcastable(tables[dim]) for fks in checks.values() for _, dim, _ in fks}
     for t, fks in checks.items():
-        for col, dim, key in fks:
-            value = F.col(col).cast("long").alias("v")
-            held = tables[t].filter(F.col(col).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-            orphans = held.join(tables[dim].select(F.col(key).cast("long").alias("v")), "v", "left_anti")
-            parts.append(orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
-                F.lit(t).alias("table_name"), F.lit(f"{col}->{dim}").alias("item"), "n"))
+        together = [fk for fk in fks if small[fk[1]]]
+        if together:
+            parts.append(_orphans_in_one_scan(tables[t], t, together, tables))
+        parts += [_orphans_by_value(tables[t], t, fk, tables) for fk in fks if not small[fk[1]]]
     return _union(parts)
 
 
