@@ -12,8 +12,9 @@ archive, sorted by URL key and time, are a run.
 
 *Merging.*  Runs are cut at common splitters (Spark's range partitioning over
 URL key, time and record, so the captures of one hot URL spread too) and each
-range merges its slices of all runs with a loser tree.  What comes out is
-ordered across and within partitions: a URL's capture history in sequence.
+range merges its slices of all runs with a loser tree.  The ranges follow the
+index in number, about ``RANGE_ROWS`` captures each, so a task's slices stay
+of one size as the index grows.  What comes out is ordered across and within partitions: a URL's capture history in sequence.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ from .common import frozen, shared_path
 
 SMALLEST = 1000
 ARCHIVE_BYTES = 16 << 20
+#: captures of the index that one range merges, about
+RANGE_ROWS = 100_000
 CRLF = b"\r\n"
 PAGE = "<urn:page:{}>"
 
@@ -235,8 +238,11 @@ def read_runs(manifest: DataFrame) -> DataFrame:
     return manifest.repartition(parts).mapInArrow(run, RUN)
 
 
-def merged_index(runs: DataFrame) -> DataFrame:
-    """All runs' captures in the order of URL key, time and record, across and within partitions."""
+def merged_index(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """All runs' captures in the order of URL key, time and record, across and within partitions.
+
+    ``runs`` is a written table: its rows are counted first.
+    """
     names = [x.split()[0] for x in RUN.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +268,7 @@ def merged_index(runs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], names=names)
 
     spark = runs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-runs.count() // range_rows))
     return runs.repartitionByRange(parts, "urlkey", "time", "page", "archive", "offset").mapInArrow(run, RUN)
 
 

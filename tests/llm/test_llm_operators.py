@@ -272,6 +272,21 @@ def test_warc_round_trip(spark):
     assert warc.archive_pages(pages.limit(0)).count() == 0
 
 
+def test_index_ranges_follow_its_rows(spark):
+    """A hot URL spreads over the ranges, whose number follows the rows."""
+    key = F.when(F.col("id") % 3 == 0, "hot,a)/").otherwise(F.concat(F.lit("b)/"), (F.col("id") % 17).cast("string")))
+    runs = spark.range(0, 2000, 1, 4).select(
+        key.alias("urlkey"), F.concat(F.lit("2024-"), (F.col("id") * 7919 % 2000).cast("string")).alias("time"), F.col("id").cast("string").alias("page"),
+        F.concat(F.lit("run"), (F.col("id") % 5).cast("string")).alias("archive"), F.col("id").alias("offset"), F.lit(1).cast("long").alias("length"),
+        F.lit("response").alias("record_type"), F.lit(0).cast("long").alias("payload_bytes"), F.lit("").alias("payload_digest"),
+        F.lit(None).cast("string").alias("refers_to"))
+    got = warc.merged_index(runs, range_rows=100)
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 15 and max(sizes) <= 400
+    rows = [tuple(r)[:5] for r in got.collect()]
+    assert rows == sorted(tuple(r)[:5] for r in runs.collect())
+
+
 # ---- 6
 def test_base_spans_brute_force():
     rng = random.Random(5)
