@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import FOREIGN_KEYS, MAX_LENGTHS, NOT_NULL, UNIQUE_KEYS
+from ..session import size_in_bytes
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -51,7 +52,7 @@ def audit_unique(tables: dict[str, DataFrame]) -> DataFrame:
 def _broadcastable(df: DataFrame) -> bool:
     """Whether Spark's own size estimate of ``df`` is within its broadcast limit."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+    return size_in_bytes(df) <= limit
 
 
 def _orphans_in_one_scan(df: DataFrame, table: str, fks: list[tuple[str, str, str]], tables: dict[str, DataFrame]) -> DataFrame:

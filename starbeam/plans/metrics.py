@@ -5,7 +5,8 @@ order, row limit) requests.  It joins only the dimensions whose columns the
 request touches: Catalyst keeps an unused inner join (it cannot know the
 foreign key always matches), so the pruning is done here, and it is valid
 because fact keys are NOT NULL and resolve (audits D1-D3) and dimension keys
-are unique (D2).
+are unique (D2).  A request whose metrics and dimensions the roll-ups of the
+published star hold reads the smallest of them instead of the fact.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import discount_tier, safe_ratio, tier_condition
 from ..operators.distinct import BLOCK, ORDER_NO, block, orders_seen
+from ..operators.rollups import MEASURES, ROLL_UPS, SUMMED
+from ..session import size_in_bytes
 from .star import Star, vds_recommendations
 
 # ------------------------------------------------------------------ datasets
@@ -103,24 +106,34 @@ class Metric:
     merge: Callable[[str], Column] = F.sum
     #: ``final`` counts the orders in the bitmaps ``_orders`` (see ``operators.distinct``)
     counts_orders: bool = False
+    #: column of a roll-up that holds each part, where roll-ups have them all (``operators.rollups``)
+    stored: dict[str, str] | None = None
 
 
-def _sum_metric(name: str, expr: Callable[[], Column], cols, cast: str | None = None) -> Metric:
-    """A sum, in the type that summing gives (DECIMAL for money) unless ``cast`` names another."""
+def _held(**parts: str) -> dict[str, str] | None:
+    """``parts`` if the roll-ups have all the columns they name."""
+    return parts if set(parts.values()) <= set(MEASURES) else None
+
+
+def _sum_metric(name: str, expr: Callable[[], Column], cols, cast: str | None = None, stored: str | None = None) -> Metric:
+    """A sum, in the type that summing gives (DECIMAL for money) unless ``cast`` names another; ``stored``
+    is the roll-ups' column of that sum where it is not the one of a single column's name."""
     part = f"_{name}_sum"
     typed = lambda c: c if cast is None else c.cast(cast)
     return Metric(name, tuple(cols), lambda: typed(F.sum(expr())),
-                  lambda: {part: F.sum(expr())}, lambda: typed(F.sum(part)))
+                  lambda: {part: F.sum(expr())}, lambda: typed(F.sum(part)), stored=_held(**{part: stored or cols[0]}))
 
 
 def _ratio_metric(name: str, num: Callable[[], Column], den: Callable[[], Column], den_agg, cols, scale=1.0):
     pn, pd = f"_{name}_num", f"_{name}_den"
+    stored = _held(**{pn: cols[0], pd: cols[1] if den_agg is F.sum else "lines"})
     return Metric(
         name, tuple(cols),
         lambda: safe_ratio(F.sum(num()), den_agg(den())) * scale if scale != 1.0
         else safe_ratio(F.sum(num()), den_agg(den())),
         lambda: {pn: F.sum(num()), pd: den_agg(den())},
         lambda: safe_ratio(F.sum(pn), F.sum(pd)) * scale if scale != 1.0 else safe_ratio(F.sum(pn), F.sum(pd)),
+        stored=stored,
     )
 
 
@@ -142,7 +155,7 @@ NAMED_METRICS = {
     "revenue_after_discount": _sum_metric("revenue_after_discount", lambda: F.col("revenue_after_discount"),
                                           ["revenue_after_discount"]),
     "total_discount_impact": _sum_metric("total_discount_impact", lambda: F.col("sales") * F.col("discount"),
-                                         ["sales", "discount"]),
+                                         ["sales", "discount"], stored="discount_given"),
     "order_count": Metric("order_count", ("order_id",), lambda: _distinct_orders().cast("long"),
                           lambda: {}, lambda: F.sum(F.bitmap_count("_orders")).cast("long"), counts_orders=True),
 }
@@ -165,7 +178,8 @@ def adhoc(aggregate: str, column: str, label: str | None = None) -> Metric:
         return _ratio_metric(name, col, col, F.count, [column])
     if agg == "COUNT":
         return Metric(name, (column,), lambda: F.count(column).cast("long"),
-                      lambda: {part: F.count(column)}, lambda: F.sum(part).cast("long"))
+                      lambda: {part: F.count(column)}, lambda: F.sum(part).cast("long"),
+                      stored={part: "lines"} if column in SUMMED else None)
     if agg in ("MIN", "MAX"):
         fn = F.min if agg == "MIN" else F.max
         return Metric(name, (column,), lambda: fn(column).cast("double"),
@@ -206,15 +220,19 @@ def metric_query(
     Sorted by the first metric (descending unless ``order_desc`` is False),
     group keys breaking ties; ``row_limit`` keeps the first rows."""
     ms = [NAMED_METRICS[m] if isinstance(m, str) else m for m in metrics]
-    star = _bounded(star, dataset, filters)
     spec = DATASETS[dataset]
     used = [spec.get(c, ("fact", c))[0] for c in [*groupby, *[f[0] for f in filters], *([time_col] if time_col else [])]]
+    rollup = _smallest_rollup(star, ms, set(used))
+    if rollup is None:
+        star = star.with_(fact_orders=_bounded(star.fact_orders, dataset, filters))
     # the fact on one foreign key is no larger than that dimension; on several keys, or on a key and
     # a fact column, it comes near its own size, and joining first sends only the final groups
     few = len(set(used) - {"fact"}) + sum(spec.get(c, ("fact", c))[0] == "fact" for c in groupby) <= 1
     # dimensions that don't grow with the data, so that bitmaps are few (operators.distinct)
     countable = ORDER_NO in star.fact_orders.columns and set(used) <= {"dim_date", "dim_geography", "dim_ship_mode"}
-    if few and all(m.parts is not None and (countable or not m.counts_orders) for m in ms):
+    if rollup is not None:
+        out, keys = _from_rollup(star, rollup, dataset, ms, list(groupby), list(filters), time_col, grain)
+    elif few and all(m.parts is not None and (countable or not m.counts_orders) for m in ms):
         out, keys = _rolled(star, dataset, ms, list(groupby), list(filters), time_col, grain)
     else:
         out, keys = _direct(star, dataset, ms, list(groupby), list(filters), time_col, grain)
@@ -224,9 +242,18 @@ def metric_query(
     return out.limit(row_limit) if row_limit is not None else out
 
 
-def _bounded(star: Star, dataset: str, filters) -> Star:
-    """The star with the key range of filters on the order year on its fact, so that they reach the scan."""
-    fact = star.fact_orders
+def _smallest_rollup(star: Star, ms: Sequence[Metric], used: set[str]) -> str | None:
+    """The smallest published roll-up, by its files, that holds the metrics and the keys of the tables
+    used; None where only the fact does."""
+    if not star.rollups or "fact" in used or any(m.stored is None for m in ms):
+        return None
+    keys = {_JOIN_KEY[t][0] for t in used}
+    holding = [n for n, by in ROLL_UPS.items() if keys <= set(by) and n in star.rollups]
+    return min(holding, key=lambda n: (size_in_bytes(star.rollups[n]), n), default=None)
+
+
+def _bounded(fact: DataFrame, dataset: str, filters) -> DataFrame:
+    """The fact (or a roll-up by day) with the key range of filters on the order year, so that they reach the scan."""
     for subject, op, value in filters:
         if DATASETS[dataset].get(subject) != ("dim_date", "year"):
             continue
@@ -237,7 +264,7 @@ def _bounded(star: Star, dataset: str, filters) -> Star:
             fact = fact.filter(F.col("order_date_key") >= (years[0] + low) * 10000)
         if years and high is not None:
             fact = fact.filter(F.col("order_date_key") < (years[-1] + high + 1) * 10000)
-    return star.with_(fact_orders=fact)
+    return fact
 
 
 def _filter(df: DataFrame, dataset: str, subject: str, op: str, value, col: Column) -> DataFrame:
@@ -315,6 +342,30 @@ def _rolled(star, dataset, ms, groupby, filters, time_col, grain):
     return (roll.groupBy(*keys).agg(*aggs) if keys else roll.agg(*aggs)), keys
 
 
+def _from_rollup(star, rollup, dataset, ms, groupby, filters, time_col, grain):
+    """Join dimensions, filtered, to the rows of a roll-up and add its sums up."""
+    spec = DATASETS[dataset]
+    wanted = list(dict.fromkeys([*groupby, *([time_col] if time_col else [])]))
+    unknown = [c for c in [c for m in ms for c in m.columns] if c not in spec]
+    if unknown:
+        raise KeyError(f"dataset {dataset!r} has no column(s) {unknown}")
+    roll = _bounded(star.rollups[rollup], dataset, filters)
+    tables = sorted({spec[c][0] for c in [*wanted, *[f[0] for f in filters]]})
+    parts = {part: column for m in ms for part, column in m.stored.items()}
+    roll = roll.select(*[_JOIN_KEY[t][0] for t in tables], *[F.col(c).alias(p) for p, c in parts.items()])
+    for t in tables:
+        fk, pk = _JOIN_KEY[t]
+        dim = star.tables()[t]
+        for subject, op, value in filters:
+            if spec[subject][0] == t:
+                dim = _filter(dim, dataset, subject, op, value, F.col(spec[subject][1]))
+        own = [F.col(spec[c][1]).alias(c) for c in wanted if spec[c][0] == t]
+        roll = roll.join(dim.select(F.col(pk).alias(fk), *own), fk)
+    roll, keys = _grain(roll, time_col, grain, groupby)
+    aggs = [m.final().alias(m.name) for m in ms]
+    return (roll.groupBy(*keys).agg(*aggs) if keys else roll.agg(*aggs)), keys
+
+
 # -------------------------------------------------------------------- charts
 
 HEAVY = "Heavy (>20%)"

@@ -27,14 +27,20 @@ class Star:
     dim_ship_mode: DataFrame
     fact_orders: DataFrame
     dim_product_recommendations: DataFrame | None = None
+    #: published roll-ups of exactly these facts by name (``operators.rollups``); None where there are none
+    rollups: dict[str, DataFrame] | None = None
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self) if getattr(self, f.name) is not None}
+        names = [f.name for f in fields(self) if f.name != "rollups"]
+        return {n: getattr(self, n) for n in names if getattr(self, n) is not None}
 
     def dims(self) -> dict[str, DataFrame]:
         return {k: v for k, v in self.tables().items() if k.startswith("dim_")}
 
     def with_(self, **kw) -> "Star":
+        """A star with other tables; other facts have no roll-ups unless they are given too."""
+        if "fact_orders" in kw:
+            kw.setdefault("rollups", None)
         return replace(self, **kw)
 
 

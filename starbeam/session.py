@@ -132,3 +132,8 @@ def written(df: DataFrame, name: str) -> Iterator[DataFrame]:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         remove_path(spark, path)
+
+
+def size_in_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of the size of ``df``."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -22,7 +22,11 @@ Facts are append-only: a full load writes the whole fact table, an
 incremental load (``publish_increment``) writes only its new fact rows and
 lists the earlier fact folders in its marker (``fact_parts``), so a small
 batch never rewrites a large fact table.  Dimensions are rewritten per
-version (copy-on-write).  One writer per ``root`` is assumed.
+version (copy-on-write).  Roll-ups (``operators.rollups``) are written from a
+version's own fact folder after the audits, and the marker lists their folders
+(``rollup_parts``) as it does the facts'; a star on facts published without
+them has none, and its queries read the fact.  One writer per ``root`` is
+assumed.
 """
 
 from __future__ import annotations
@@ -33,11 +37,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import rollups as RU
 from ..operators.audit import audit_all
 from ..plans.star import Star
 
 MARKERS = "_published"
-MARKER_SCHEMA = "version string, published_at timestamp, fact_parts array<string>"
+MARKER_SCHEMA = "version string, published_at timestamp, fact_parts array<string>, rollup_parts array<string>"
+ROLL_UPS = "rollups"
 MAX_RECORDS_PER_FILE = 20_000_000
 
 
@@ -87,14 +93,39 @@ def _path(root: str, version: str, name: str) -> str:
     return f"{root.rstrip('/')}/{version}/{name}"
 
 
-def read_version(spark: SparkSession, root: str, version: str, fact_parts: list[str] | None = None) -> Star:
+def _write_rollups(spark: SparkSession, root: str, version: str) -> list[str]:
+    """Write the roll-ups of a version's own fact folder; [version], or [] where it has no rows."""
+    fact = spark.read.parquet(_path(root, version, "fact_orders"))
+    if fact.isEmpty():
+        return []
+    # rows of one roll-up lie in every task's output, so each gets a few files as sorted by its keys
+    out = RU.roll_up(fact).sortWithinPartitions(RU.NAME, *RU.KEYS)
+    out.write.mode("errorifexists").partitionBy(RU.NAME).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(
+        _path(root, version, ROLL_UPS))
+    return [version]
+
+
+def _read_rollups(spark: SparkSession, root: str, parts: list[str] | None) -> dict[str, DataFrame] | None:
+    if not parts:
+        return None
+    found, reader = {}, spark.read
+    for name, keys in RU.ROLL_UPS.items():
+        df = reader.parquet(*[f"{_path(root, p, ROLL_UPS)}/{RU.NAME}={name}" for p in parts])
+        reader = spark.read.schema(df.schema)  # the same for all
+        found[name] = df.select(*keys, *RU.MEASURES)
+    return found
+
+
+def read_version(
+    spark: SparkSession, root: str, version: str, fact_parts: list[str] | None = None, rollup_parts: list[str] | None = None
+) -> Star:
     found = {n: spark.read.parquet(_path(root, version, n)) for n in DIMENSIONS}
     for n in OPTIONAL:
         df = _if_there(lambda n=n: spark.read.parquet(_path(root, version, n)))
         if df is not None:
             found[n] = df
     found["fact_orders"] = spark.read.parquet(*[_path(root, p, "fact_orders") for p in (fact_parts or [version])])
-    return Star(**found)
+    return Star(**found, rollups=_read_rollups(spark, root, rollup_parts))
 
 
 def markers(spark: SparkSession, root: str) -> DataFrame | None:
@@ -103,10 +134,10 @@ def markers(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def published(spark: SparkSession, root: str):
-    """(version, fact_parts) of the newest published version, or None."""
+    """(version, fact_parts, rollup_parts) of the newest published version, or None."""
     m = markers(spark, root)
     # one small row per published version
-    return None if m is None else m.orderBy(F.col("version").desc()).select("version", "fact_parts").first()
+    return None if m is None else m.orderBy(F.col("version").desc()).select("version", "fact_parts", "rollup_parts").first()
 
 
 def published_version(spark: SparkSession, root: str) -> str:
@@ -123,23 +154,28 @@ def _audit_or_fail(tables: dict[str, DataFrame], version: str) -> None:
         raise AuditFailed(f"star {version} not published: {[r.asDict() for r in problems]}")
 
 
-def _mark(spark: SparkSession, root: str, version: str, parts: list[str]) -> None:
+def _mark(spark: SparkSession, root: str, version: str, parts: list[str], rollup_parts: list[str] | None) -> None:
+    def texts(values: list[str] | None):
+        return F.lit(None if values is None else values).cast("array<string>")
+
     marker = spark.range(1).select(
         F.lit(version).alias("version"),
         F.current_timestamp().alias("published_at"),
-        F.array(*[F.lit(p) for p in parts]).alias("fact_parts"),
+        texts(parts).alias("fact_parts"),
+        texts(rollup_parts).alias("rollup_parts"),
     )
     marker.write.mode("append").parquet(f"{root.rstrip('/')}/{MARKERS}")
 
 
-def publish_star(star: Star, root: str, audit: bool = True) -> str:
-    """Write every table, audit, then publish; returns the version name."""
+def publish_star(star: Star, root: str, audit: bool = True, rollups: bool = True) -> str:
+    """Write every table, audit, then publish; returns the version name.  Without ``rollups``
+    neither this version nor its increments get any."""
     spark = star.fact_orders.sparkSession
     version = _next_version(spark, root)
     write_tables(star, root, version)
     if audit:
         _audit_or_fail(read_version(spark, root, version).tables(), version)
-    _mark(spark, root, version, [version])
+    _mark(spark, root, version, [version], _write_rollups(spark, root, version) if rollups else None)
     return version
 
 
@@ -159,7 +195,11 @@ def publish_increment(star: Star, new_facts: DataFrame, root: str, audit: bool =
     write_tables(star.with_(fact_orders=new_facts), root, version)
     if audit:
         _audit_or_fail(read_version(spark, root, version).tables(), version)
-    _mark(spark, root, version, [*base.fact_parts, version])
+    # facts published without roll-ups stay without: those of the increment alone would answer wrongly
+    rolled = base.rollup_parts
+    if rolled is not None:
+        rolled = [*rolled, *_write_rollups(spark, root, version)]
+    _mark(spark, root, version, [*base.fact_parts, version], rolled)
     return version
 
 
@@ -174,7 +214,7 @@ def publish_recommendations(star: Star, root: str, audit: bool = True) -> str:
     if audit:
         tables = read_version(spark, root, version, list(base.fact_parts)).tables()
         _audit_or_fail({**tables, "fact_orders": tables["fact_orders"].limit(0)}, version)
-    _mark(spark, root, version, list(base.fact_parts))
+    _mark(spark, root, version, list(base.fact_parts), base.rollup_parts)
     return version
 
 
@@ -183,4 +223,4 @@ def read_star(spark: SparkSession, root: str) -> Star:
     row = published(spark, root)
     if row is None:
         raise FileNotFoundError(f"no published star under {root}")
-    return read_version(spark, root, row.version, list(row.fact_parts))
+    return read_version(spark, root, row.version, list(row.fact_parts), row.rollup_parts)
