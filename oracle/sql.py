@@ -15,7 +15,49 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from starbeam.schema import FOREIGN_KEYS, MAX_LENGTHS, NOT_NULL, UNIQUE_KEYS  # noqa: E402
+# The constraints of the warehouse schema, stated here apart from the library's own lists.
+# NOT NULL columns (primary keys included), in the order of the schema
+NOT_NULL = {
+    "dim_date": "date_key full_date day month quarter year day_of_week day_name month_name is_weekend".split(),
+    "dim_customer": "customer_key customer_id customer_name segment".split(),
+    "dim_geography": "geography_key city state country region".split(),
+    "dim_product": "product_key product_id product_name category sub_category".split(),
+    "dim_ship_mode": "ship_mode_key ship_mode".split(),
+    "fact_orders": ("order_line_key row_id order_id order_date_key ship_date_key ship_mode_key customer_key "
+                    "geography_key product_key sales quantity discount profit").split(),
+    "dim_product_recommendations": ("recommendation_key product_key recommended_product_key date_key "
+                                    "recommendation_type recommendation_score").split(),
+}
+# PRIMARY KEY and UNIQUE
+UNIQUE_KEYS = {
+    "dim_date": [["date_key"], ["full_date"]],
+    "dim_customer": [["customer_key"], ["customer_id"]],
+    "dim_geography": [["geography_key"], ["postal_code", "city", "state"]],
+    "dim_product": [["product_key"], ["product_id"]],
+    "dim_ship_mode": [["ship_mode_key"], ["ship_mode"]],
+    "fact_orders": [["order_line_key"], ["row_id"]],
+    "dim_product_recommendations": [["recommendation_key"],
+                                    ["product_key", "recommended_product_key", "date_key", "recommendation_type"]],
+}
+# VARCHAR(n)
+MAX_LENGTHS = {
+    "dim_date": {"day_name": 10, "month_name": 10},
+    "dim_customer": {"customer_id": 20, "customer_name": 100, "segment": 50},
+    "dim_geography": {"postal_code": 10, "city": 100, "state": 100, "country": 100, "region": 50},
+    "dim_product": {"product_id": 50, "category": 50, "sub_category": 50},
+    "dim_ship_mode": {"ship_mode": 50},
+    "fact_orders": {"order_id": 20},
+    "dim_product_recommendations": {"recommendation_type": 50},
+}
+# REFERENCES of the fact: column, table, key
+FOREIGN_KEYS = [
+    ("order_date_key", "dim_date", "date_key"),
+    ("ship_date_key", "dim_date", "date_key"),
+    ("ship_mode_key", "dim_ship_mode", "ship_mode_key"),
+    ("customer_key", "dim_customer", "customer_key"),
+    ("geography_key", "dim_geography", "geography_key"),
+    ("product_key", "dim_product", "product_key"),
+]
 
 
 def MONEY(x: str) -> str:

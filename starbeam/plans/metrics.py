@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -252,18 +253,35 @@ def _smallest_rollup(star: Star, ms: Sequence[Metric], used: set[str]) -> str |
     return min(holding, key=lambda n: (size_in_bytes(star.rollups[n]), n), default=None)
 
 
+def _date_keys(column, value) -> tuple[int, int] | None:
+    """The date key range [first, after) of a year or a day; None for values that are neither."""
+    if column == ("dim_date", "year") and isinstance(value, int):
+        return value * 10000, (value + 1) * 10000
+    if column == ("dim_date", "full_date"):
+        if isinstance(value, str) and re.fullmatch(r"\d{4}-\d{2}-\d{2}", value, re.ASCII):
+            day = int(value.replace("-", ""))
+        elif type(value) is date:  # a datetime has a time, which no key tells
+            day = value.year * 10000 + value.month * 100 + value.day
+        else:
+            return None
+        return day, day + 1
+    return None
+
+
 def _bounded(fact: DataFrame, dataset: str, filters) -> DataFrame:
-    """The fact (or a roll-up by day) with the key range of filters on the order year, so that they reach the scan."""
+    """The fact (or a roll-up by day) with the key range of filters on the order date or year, so that they
+    reach the scan.  The filters themselves still run on the dimension."""
+    key = F.col("order_date_key")
     for subject, op, value in filters:
-        if DATASETS[dataset].get(subject) != ("dim_date", "year"):
+        op = op.upper()
+        ranges = [_date_keys(DATASETS[dataset].get(subject), v) for v in (value if op == "IN" else [value])]
+        if not ranges or None in ranges:
             continue
-        years = sorted(value) if op.upper() == "IN" else [value]
-        low = {"==": 0, "IN": 0, ">=": 0, ">": 1}.get(op.upper())
-        high = {"==": 0, "IN": 0, "<=": 0, "<": -1}.get(op.upper())
-        if years and low is not None:
-            fact = fact.filter(F.col("order_date_key") >= (years[0] + low) * 10000)
-        if years and high is not None:
-            fact = fact.filter(F.col("order_date_key") < (years[-1] + high + 1) * 10000)
+        first, after = min(r[0] for r in ranges), max(r[1] for r in ranges)
+        if op in ("==", "IN", ">=", ">"):
+            fact = fact.filter(key >= (after if op == ">" else first))
+        if op in ("==", "IN", "<=", "<"):
+            fact = fact.filter(key < (first if op == "<" else after))
     return fact
 
 

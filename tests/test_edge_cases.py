@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from starbeam.functions.measures import discount_tier, pct, tier_condition
 from starbeam.operators.numbering import assign_surrogate_keys
 from starbeam.plans import golden as GQ
+from starbeam.plans import metrics as M
 from starbeam.plans.metrics import adhoc, metric_query
 from starbeam.plans.star import build_star
 from tests.test_facts import rows
@@ -86,6 +87,25 @@ def test_year_filter_reaches_the_fact_scan(star):
     assert ">= 19960000" in plan and "< 19970000" in plan and "GreaterThanOrEqual(order_date_key" in plan
 
 
+def test_date_filter_reaches_the_fact_scan(star):
+    day, late = dt.date(1996, 2, 28), "1997-03-31"
+    cases = [("==", day), ("IN", [late, day]), (">", day), (">=", day), ("<", late), ("<=", late), ("!=", day),
+             ("<", dt.datetime(1996, 2, 28, 12)), (">", "1996-2-28")]
+    for bare in (star, star.with_(rollups=None)):
+        for op, value in cases:
+            got = metric_query(bare, metrics=["order_count", "total_revenue"], groupby=["order_quarter"],
+                               filters=[("order_date", op, value)])
+            days = star.dim_date.filter(M._OPS[op](F.col("full_date"), value)).withColumnRenamed("date_key", "order_date_key")
+            plain = star.fact_orders.join(days, "order_date_key").groupBy(F.col("quarter").alias("order_quarter")).agg(
+                F.countDistinct("order_id").alias("order_count"), F.sum("sales").alias("total_revenue"))
+            assert {tuple(r) for r in got.collect()} == {tuple(r) for r in plain.collect()}, (op, value)
+        plan = metric_query(bare, filters=[("order_date", ">", day), ("order_date", "<=", late)])._jdf.queryExecution()
+        plan = plan.executedPlan().toString()
+        assert ">= 19960229" in plan and "< 19970332" in plan and "GreaterThanOrEqual(order_date_key" in plan
+    timed = [("order_date", "<", dt.datetime(1996, 2, 28, 12))]
+    assert "order_date_key < " not in metric_query(star, filters=timed)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_reports_filter_before_rounding(spark):
     from starbeam.plans import reports as AR
 
