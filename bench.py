@@ -40,7 +40,7 @@ def main() -> None:
 
     spark = local_session(cores=cpus, shuffle_partitions=max(8, cpus * 2), app="starbeam-bench")
     t0 = time.time()
-    fixture(spark, sf_dir)
+    fixture(spark, sf_dir).star
     load = time.time() - t0
     times = {}
     for k in HEADLINE:
