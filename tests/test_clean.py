@@ -108,3 +108,16 @@ def test_byte_order_mark_and_missing_column(spark, fx):
     raw.select(*[F.col(c).alias(back.get(c, c)) for c in raw.columns if c != "sales"]).write.option("header", True).csv(partial)
     with pytest.raises(ValueError, match="sales"):
         read_orders_csv(spark, partial)
+
+
+def test_only_rows_with_a_repeated_hash_are_shuffled_whole(spark, monkeypatch):
+    from starbeam.operators import clean as C
+
+    rows = [("a", None), (None, "a"), ("a", None), ("b", "c"), ("b", "d"), ("b", "c"), (None, None)]
+    raw = spark.createDataFrame(rows, "x string, y string")
+    want = sorted(set(rows), key=str)
+    got = C.dedup_rows(raw)
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    assert "left_anti" in got._jdf.queryExecution().optimizedPlan().toString().lower().replace("leftanti", "left_anti")
+    monkeypatch.setattr(C, "MAX_BROADCAST_ROWS", 0)  # more repeats than a task holds
+    assert sorted(map(tuple, C.dedup_rows(raw).collect()), key=str) == want
