@@ -41,9 +41,13 @@ def _before(order: Sequence[Column], keys: Sequence[str] = ()) -> Window:
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def running_start(df: DataFrame, key: str, chunk: str, order: Sequence[str], value: str, out: str) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over the rows of the same ``key`` that come before in (chunk, order)."""
-    totals = df.groupBy(key, chunk).agg(F.sum(value).alias("_t"))
+def running_start(df: DataFrame, key: str, chunk: str, order: Sequence[str], value: str, out: str,
+                  same: DataFrame | None = None) -> DataFrame:
+    """Add ``out``: the sum of ``value`` over the rows of the same ``key`` that come before in (chunk, order).
+
+    ``same`` holds the key, chunk and value of the same rows where it costs less to read than ``df``.
+    """
+    totals = (df if same is None else same).groupBy(key, chunk).agg(F.sum(value).alias("_t"))
     offsets = totals.select(key, chunk, F.coalesce(F.sum("_t").over(_before([F.col(chunk)], [key])), F.lit(0)).alias("_off"))
     inside = F.coalesce(F.sum(value).over(_before([F.col(c) for c in order], [key, chunk])), F.lit(0))
     return df.withColumn("_in", inside).join(offsets, [key, chunk]).withColumn(out, F.col("_off") + F.col("_in")).drop("_off", "_in")
@@ -195,8 +199,12 @@ class Mix:
 
     def placed(self, rows: DataFrame) -> DataFrame:
         """Rows with words and their place ``start`` in their source; it depends on the rows' values only."""
-        rows = self.keyed(rows).filter("size > 0").withColumn("_chunk", F.pmod(F.xxhash64("doc_id", "size"), F.lit(self.n_chunks)))
-        return running_start(rows, "sid", "_chunk", ["doc_id", "size", "_hash"], "size", "start")
+        # the chunks' totals come from the written sizes: no text is split again for them
+        return running_start(self.chunked(rows), "sid", "_chunk", ["doc_id", "size", "_hash"], "size", "start", self.chunked(self.sizes))
+
+    def chunked(self, rows: DataFrame) -> DataFrame:
+        chunk = F.pmod(F.xxhash64("doc_id", "size"), F.lit(self.n_chunks))
+        return self.keyed(rows).filter("size > 0").withColumn("_chunk", chunk)
 
     def texts(self) -> DataFrame:
         """The mixed corpus, one row for each output slot: shard, slot, sid, text and parts (doc_id, start, text), of which text is made.

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starbeam.llm import chat, minhash, pii, quality, substring, suffix, tokens, warc
 from starbeam.llm.decontam import contaminated_spans, contamination
-from starbeam.llm.mixing import mix_sources, mixed_corpus, permuted
+from starbeam.llm.mixing import Mix, mix_sources, mixed_corpus, permuted
 from starbeam.llm.queries import ORACLE_SQL, QUERIES
 from starbeam.llm.substring import dedup_substrings
 from starbeam.llm.suffix import dedup_suffixes
@@ -128,6 +128,13 @@ def test_mix_targets(spark, awkward):
         assert abs(sum(v) - taken[k]) <= 3  # rounding, where sources share size and target
 
 
+def test_mix_reads_no_text_for_running_sums(spark):
+    mix = Mix(smoke(spark, "documents"))
+    sized = mix.docs.select("doc_id", "source", "text", F.length("text").alias("size"), F.xxhash64("text").alias("_hash"))
+    plan = mix.placed(sized)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("text#") and plan.count(",text#") == 1  # one relation whose text is read
+
+
 def test_mix_empty(spark):
     assert mix_sources(frame(spark).limit(0)).count() == 0
     blank = mix_sources(frame(spark, [(1, "", "a"), (2, None, None)])).collect()
