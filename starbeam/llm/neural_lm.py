@@ -47,6 +47,8 @@ HELD = 16_384
 #: different words that a counting task holds before it passes them on
 COUNTED = 200_000
 LONGEST = 64
+#: numbers in the tables of scores by pairs of outputs, at most
+PAIRS = 1 << 20
 STRETCH = 1 << 20
 #: the end of a text; no word holds a space
 END = b" "
@@ -207,6 +209,7 @@ class Model:
         parts = [p.reshape(s) for p, s in zip(np.split(self.flat, cuts), shapes * 2, strict=True)]
         # context vectors; output vectors, each with its bias; scales by position; and of each the sum of squared gradients
         self.r, self.q, self.c, self.r2, self.q2, self.c2 = parts
+        self._tables: tuple | None = None  # of the parameters as they are when first asked
 
     @staticmethod
     def _rows(param: np.ndarray, squares: np.ndarray, rows: np.ndarray, grads: np.ndarray, rate: float) -> None:
@@ -220,6 +223,7 @@ class Model:
 
     def learn(self, context: np.ndarray, target: np.ndarray, rng: np.random.Generator, noise: int, rate: float) -> None:
         """A step of noise-contrastive estimation on a minibatch: tell its targets from shared draws of noise."""
+        self._tables = None
         n = len(self.log_p)
         x = np.minimum(np.searchsorted(self.cumulated, rng.random(noise) * self.cumulated[-1]), n - 1)
         seen = self.r[context]
@@ -237,8 +241,33 @@ class Model:
         self.c2 += dc * dc
         self.c += rate * dc / np.sqrt(self.c2)
 
+    def tables(self) -> tuple[list[np.ndarray], np.ndarray] | None:
+        """What each place of the context adds to the score of every output, the first with the bias; and the logarithm of
+        every context's sum over all outputs, by its number.  None where these are large or would leave the range of floats."""
+        n, width = len(self.log_p), len(self.c)
+        if width != 2 or (n + 1) * n * 2 > PAIRS:
+            return None
+        out, bias = self.q[:, :-1].astype(np.float64), self.q[:, -1].astype(np.float64)
+        first, second = ((self.r * scale).astype(np.float64) @ out.T for scale in self.c)
+        first += bias
+        if max(np.ptp(first), np.ptp(second)) > 300:
+            return None
+        tops = first.max(axis=1), second.max(axis=1)
+        # the sum over outputs of a product of exponentials, for all pairs at once
+        sums = np.exp(first - tops[0][:, None]) @ np.exp(second - tops[1][:, None]).T
+        return [first, second], (np.log(sums) + tops[0][:, None] + tops[1]).ravel()
+
     def log_probabilities(self, context: np.ndarray, target: np.ndarray, block: int = 128) -> np.ndarray:
         """Natural logarithms of the targets' normalised probabilities; equal contexts are summed over once."""
+        if self._tables is None:
+            self._tables = self.tables() or ()
+        if self._tables:
+            (first, second), norms = self._tables
+            a, b = context[:, 0], context[:, 1]
+            return first[a, target] + second[b, target] - norms[a * (len(self.log_p) + 1) + b]
+        return self._summed(context, target, block)
+
+    def _summed(self, context: np.ndarray, target: np.ndarray, block: int) -> np.ndarray:
         key = context[:, 0].copy()
         for i in range(1, context.shape[1]):
             key = key * (len(self.log_p) + 1) + context[:, i]

@@ -156,6 +156,23 @@ def test_model_probabilities_are_normalised():
     assert np.allclose(p.sum(axis=1), 1, atol=1e-5)
 
 
+def test_tables_of_pairs_give_the_summed_probabilities(monkeypatch):
+    """Scores come from tables over pairs of outputs, made once, and are those of sums over the outputs of each context."""
+    rng = np.random.default_rng(3)
+    f = rng.random(50)
+    model = neural_lm.Model(f / f.sum(), 8, 2)
+    context, target = rng.integers(0, 51, (400, 2)), rng.integers(0, 50, 400)
+    for seen in range(2):  # tables do not outlive a step of learning
+        summed = model._summed(context, target, 64)
+        with monkeypatch.context() as m:
+            m.setattr(neural_lm.Model, "_summed", None)
+            assert np.allclose(model.log_probabilities(context, target), summed, atol=1e-4)
+        model.learn(context, target, rng, 16, 0.3)
+    model.q[0] *= 1e6  # beyond the range of floats: summed as before
+    model._tables = None
+    assert np.isfinite(model.log_probabilities(context, target)).all() and model.tables() is None
+
+
 def test_model_learns_successions():
     """After some passes over a fixed succession of outputs the next one is nearly certain."""
     f = np.full(10, 0.1)
