@@ -7,7 +7,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from starbeam.operators.distinct import number_orders
-from starbeam.operators.facts import empty_facts
+from starbeam.operators.facts import empty_facts, load_facts, new_facts
+from starbeam.operators.numbering import assign_surrogate_keys, range_of
+from starbeam.operators.upsert import upsert_update
+from starbeam.schema import FACT_COLUMNS
 from starbeam.sources.fixture import LINEITEM_COLUMNS, flat_orders
 from starbeam.warehouse import Fixture
 
@@ -60,3 +63,73 @@ def test_a_query_of_facts_loads_no_recommendations(spark, tables):
     day = fx.star.dim_date.filter("full_date = DATE'2026-06-21'").count()
     assert (day, fx.facts.dim_date.count(), fx.star.dim_date.count()) == (1, 1, 2)
     assert fx.star.rollups and fx.star.dim_product_recommendations is not None
+
+
+def fact_rows(spark, ids):
+    """Facts of orders of up to three lines, whose lines lie apart."""
+    rows = spark.createDataFrame([(i, None if i == 5 else f"O{i % 7}") for i in ids], "row_id long, order_id string")
+    rest = [f for f in empty_facts(spark).schema if f.name in FACT_COLUMNS and f.name not in ("order_line_key", "row_id", "order_id")]
+    return rows.select("*", *[(F.col("row_id") % 8).cast(f.dataType).alias(f.name) for f in rest])
+
+
+def test_ranges_keep_the_order_of_values(spark):
+    df = spark.createDataFrame([(v,) for v in [None, *range(-50, 900, 3)]], "v long")
+    got = [r.b for r in df.select("v", range_of(df, "v", 8).alias("b")).orderBy(F.col("v").asc_nulls_first()).collect()]
+    assert got == sorted(got) and got[0] == 0 and set(got) == set(range(8))
+    assert range_of(df.limit(0), "v", 8) is None
+    uneven = spark.createDataFrame([(v,) for v in [*range(200), 10**9]], "v long")
+    assert range_of(uneven, "v", 8) is None  # left to a range partitioning
+
+
+def test_numbers_by_ranges_are_those_of_a_range_partitioning(spark):
+    df = spark.createDataFrame([(v % 211, v) for v in range(300)], "v long, w long")
+    plain = assign_surrogate_keys(df, ["v"], "k", unique=["w"])
+    dealt = assign_surrogate_keys(df, ["v"], "k", unique=["w"], ranges=range_of(df, "v", 8))
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_first_facts_are_not_sampled_nor_shuffled_by_order(spark):
+    """The rows are made once, and meet their orders' numbers in the ranges of row id."""
+    rows, made = fact_rows(spark, [*range(40), 3]), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    got = new_facts(empty_facts(spark), rows.mapInArrow(counted, rows.schema), rows)
+    assert made.value == 41
+    plain = new_facts(empty_facts(spark), rows)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect())) and got.count() == 40
+    assert {r.row_id: r.order_no for r in got.collect()}[12] == 7  # O5 comes last: row 5 has no order
+
+
+def test_an_increment_finds_the_loaded_ids_first(spark):
+    """Incoming rows are made once; known orders keep their numbers, loaded ids their rows."""
+    existing = new_facts(empty_facts(spark), fact_rows(spark, range(10)))
+    rows, made = fact_rows(spark, range(8, 30)), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    got = new_facts(existing, rows.mapInArrow(counted, rows.schema), rows)
+    assert made.value == 22
+    assert sorted((r.order_line_key, r.row_id) for r in got.collect()) == [(i + 1, i) for i in range(10, 30)]
+    want = load_facts(existing, rows).filter("row_id >= 10").select(*got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_an_upsert_reads_its_batch_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    old = spark.createDataFrame([(1, "a", "x")], "key long, id string, name string")
+    rows = spark.createDataFrame([(1, "a", "y"), (2, "b", "z"), (3, "b", "w")], "row_id long, id string, name string")
+    got = upsert_update(old, rows.mapInArrow(counted, rows.schema), ["id"], ["name"], "key")
+    assert sorted(map(tuple, got.collect())) == [(1, "a", "y"), (2, "b", "z")] and made.value == 3
