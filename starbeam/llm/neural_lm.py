@@ -15,6 +15,9 @@ minibatches in numpy, and gives back parameters whose average, weighted by
 tokens, starts the next round.  Noise is drawn from the outputs' frequencies
 and shared by a minibatch, which makes all of it matrix products.
 
+A text's words are looked up once, after the counting: its outputs are written
+as numbers of two bytes (``encoded``), which training and scoring read.
+
 Only tables of proven size reach a task whole: the parameters, and the counts
 of the ``LISTED`` commonest words, whose keys have 64 bytes at most (a longer
 word goes by its SHA-256).  The counts of all other words meet the texts'
@@ -29,6 +32,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +48,8 @@ RATE, SEED = 0.1, 11
 ROUNDS = (1, 8)
 #: tokens that a task holds for its next matrix products
 HELD = 16_384
+#: outputs of one text taken up at once, at most
+LINE = 1 << 18
 #: different words that a counting task holds before it passes them on
 COUNTED = 200_000
 LONGEST = 64
@@ -127,6 +133,10 @@ class Vocabulary:
     def outputs(self) -> int:
         return self.head + 1 + self.buckets
 
+    def number(self) -> np.dtype:
+        """The type of an output's number in a written line."""
+        return np.dtype("<u2" if self.outputs < 1 << 16 else "<u4")
+
     def bucket(self, word: bytes) -> int:
         return self.head + 1 + zlib.crc32(word) % self.buckets
 
@@ -136,12 +146,10 @@ class Vocabulary:
 
     def outputs_of(self, words: list[bytes], listed_outputs: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int]]:
         """The outputs of words, where they are in the list (-1: nowhere), and the places of those that are not."""
-        get = self.words.get
-        at = np.array([get(w, -1) for w in words], dtype=np.int64)
+        at = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
         outputs = listed_outputs[at] if len(listed_outputs) else at.copy()
         missing = np.flatnonzero(at < 0).tolist()
-        first, n, crc = self.head + 1, self.buckets, zlib.crc32
-        outputs[missing] = [first + crc(words[i]) % n for i in missing]
+        outputs[missing] = self.head + 1 + np.fromiter(map(zlib.crc32, [words[i] for i in missing]), np.int64, len(missing)) % self.buckets
         return outputs, at, missing
 
     def inner(self) -> np.ndarray:
@@ -212,32 +220,55 @@ class Model:
         self._tables: tuple | None = None  # of the parameters as they are when first asked
 
     @staticmethod
-    def _rows(param: np.ndarray, squares: np.ndarray, rows: np.ndarray, grads: np.ndarray, rate: float) -> None:
-        """An Adagrad step on some rows of a parameter; gradients of the same row are added up."""
-        order = np.argsort(rows.astype(np.uint16) if len(param) < 2**16 else rows, kind="stable")
-        rows = rows[order]
-        first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-        rows, total = rows[first], np.add.reduceat(grads[order], first, axis=0)
+    def _step(param: np.ndarray, squares: np.ndarray, rows: np.ndarray | slice, total: np.ndarray, rate: float) -> None:
+        """An Adagrad step on different rows of a parameter; a row without a gradient stays as it is."""
+        total = total.astype(np.float32)
         squares[rows] += total * total
         param[rows] += rate * total / np.sqrt(squares[rows])
 
+    @staticmethod
+    def _sums(at: np.ndarray, grads: np.ndarray, n: int) -> np.ndarray:
+        """The sums of the gradients of each of ``n`` rows."""
+        cells = np.arange(n * grads.shape[1]).reshape(n, -1)
+        return np.bincount(cells.take(at, axis=0).ravel(), grads.ravel(), cells.size).reshape(n, -1)
+
+    @staticmethod
+    def _touched(rows: np.ndarray, n: int) -> tuple[np.ndarray | slice, np.ndarray, int]:
+        """The rows to step on, each gradient's place among them, and their number; all ``n`` where these are not many more."""
+        if n <= rows.size:
+            return slice(None), rows, n
+        touched, at = np.unique(rows, return_inverse=True)
+        return touched, at.reshape(rows.shape), len(touched)
+
     def learn(self, context: np.ndarray, target: np.ndarray, rng: np.random.Generator, noise: int, rate: float) -> None:
         """A step of noise-contrastive estimation on a minibatch: tell its targets from shared draws of noise."""
         self._tables = None
         n = len(self.log_p)
         x = np.minimum(np.searchsorted(self.cumulated, rng.random(noise) * self.cumulated[-1]), n - 1)
-        seen = self.r[context]
+        rows, at, count = self._touched(context, n + 1)
+        seen = self.r[rows]
         h = np.ones((len(target), self.q.shape[1]), dtype=np.float32)
-        h[:, :-1] = (seen * self.c).sum(axis=1)
+        h[:, :-1] = (seen * self.c[0]).take(at[:, 0], axis=0)
+        for i in range(1, len(self.c)):
+            h[:, :-1] += (seen * self.c[i]).take(at[:, i], axis=0)
         odds = np.log(np.float32(noise)) + self.log_p
-        qt, qx = self.q[target], self.q[x]
+        qt, qx = self.q.take(target, axis=0), self.q.take(x, axis=0)
         up = 1 / (1 + np.exp(np.einsum("bd,bd->b", h, qt) - odds[target]))
         down = h @ qx.T
-        down = -1 / (1 + np.exp(odds[x] - down))
-        back = (up[:, None] * qt + down @ qx)[:, :-1]
-        self._rows(self.q, self.q2, np.concatenate([target, x]), np.concatenate([up[:, None] * h, down.T @ h]), rate)
-        self._rows(self.r, self.r2, context.ravel(), (back[:, None, :] * self.c).reshape(-1, back.shape[1]), rate)
-        dc = np.einsum("bd,bnd->nd", back, seen)
+        np.subtract(odds[x], down, out=down)
+        np.exp(down, out=down)
+        down += 1
+        np.divide(-1, down, out=down)
+        qt *= up[:, None]
+        qt += down @ qx
+        back, noisy = np.ascontiguousarray(qt[:, :-1]), down.T @ h
+        h *= up[:, None]
+        out, into, outs = self._touched(np.concatenate([target, x]), n)
+        self._step(self.q, self.q2, out, self._sums(into, np.concatenate([h, noisy]), outs), rate)
+        # by position of the context, not yet scaled: products with the rows' vectors are then summed by row as well
+        parts = [self._sums(at[:, i], back, count) for i in range(len(self.c))]
+        dc = np.array([np.einsum("rd,rd->d", p, seen) for p in parts], dtype=np.float32)
+        self._step(self.r, self.r2, rows, sum(p * c for p, c in zip(parts, self.c, strict=True)), rate)
         self.c2 += dc * dc
         self.c += rate * dc / np.sqrt(self.c2)
 
@@ -314,12 +345,72 @@ class Contexts:
         return np.lib.stride_tricks.sliding_window_view(line, self.width)[at], line[self.width :][at]
 
 
-def train(docs: DataFrame, vocab: Vocabulary, dim: int = DIM, context: int = CONTEXT, noise: int = NOISE, batch: int = BATCH,
+def encoded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """(row, doc_id, held, n_tokens, known, logs, score, words, times, outputs): every text's outputs, the end last, sums over
+    its listed words, and its other words.
+
+    ``logs`` sums log10(c + 1), ``score`` words' shares of their outputs; it lacks that sum over the other words.
+    """
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    number, end = vocab.number(), vocab.end
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, inner = vocab.listed_outputs(), np.append(vocab.inner(), 0.0)
+        log_counts, log_buckets = np.append(np.log10(vocab.counts + 1), 0.0), np.log10(vocab.bucket_totals)
+        last = np.array([end], dtype=number).tobytes()
+        for batch in batches:
+            size = batch.num_rows
+            tokens, known = np.ones(size, dtype=np.int64), np.full(size, int(vocab.end_count > 0), dtype=np.int64)
+            logs, score = np.full(size, np.log10(vocab.end_count + 1)), np.zeros(size)
+            rest: list[dict[bytes, int]] = [{} for _ in range(size)]
+            pieces: list[list[bytes]] = [[] for _ in range(size)]
+            held: list[bytes] = []
+            of: list[tuple[int, int]] = []  # row and number of words
+
+            def look_up() -> None:
+                if held:
+                    outputs, at, missing = vocab.outputs_of(held, table)
+                    rows, lengths = np.array(of).T
+                    row = np.repeat(rows, lengths)
+                    shares = inner[at]
+                    shares[missing] = -log_buckets[outputs[missing] - end - 1]
+                    known[:] += np.bincount(row[at >= 0], minlength=size)
+                    logs[:] += np.bincount(row, log_counts[at], size)
+                    score[:] += np.bincount(row, shares, size)
+                    for i, r in zip(missing, row[missing].tolist(), strict=True):
+                        rest[r][held[i]] = rest[r].get(held[i], 0) + 1
+                    raw, begin = outputs.astype(number).tobytes(), 0
+                    for r, n in of:
+                        pieces[r].append(raw[begin : begin + n * number.itemsize])
+                        begin += n * number.itemsize
+                held.clear()
+                of.clear()
+
+            for r, text in enumerate(batch.column("text").to_pylist()):
+                for words in word_runs(text or ""):
+                    held += words
+                    of.append((r, len(words)))
+                    tokens[r] += len(words)
+                    if len(held) >= HELD:
+                        look_up()
+            look_up()
+            yield pa.RecordBatch.from_arrays([
+                batch.column("row"), batch.column("doc_id"), batch.column("held"), pa.array(tokens), pa.array(known), pa.array(logs),
+                pa.array(score), pa.array([list(c) for c in rest], pa.list_(pa.binary())),
+                pa.array([list(c.values()) for c in rest], pa.list_(pa.int64())), pa.array([b"".join(p) + last for p in pieces], pa.binary())],
+                names=["row", "doc_id", "held", "n_tokens", "known", "logs", "score", "words", "times", "outputs"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", held_out(F.col("doc_id")).alias("held"), "text")
+    return rows.mapInArrow(run, f"row long, doc_id {id_type}, held boolean, n_tokens long, known long, logs double, score double, "
+                                "words array<binary>, times array<long>, outputs binary")
+
+
+def train(parts: DataFrame, vocab: Vocabulary, dim: int = DIM, context: int = CONTEXT, noise: int = NOISE, batch: int = BATCH,
           rate: float = RATE, rounds: tuple[int, ...] = ROUNDS) -> Model:
-    """The model learnt from the texts of ``docs``, every one of them once."""
+    """The model learnt from the texts of ``parts`` (``encoded``), every one of them once."""
     frequencies = vocab.frequencies()
     model = Model(frequencies, dim, context)
-    n_outputs, end = vocab.outputs, vocab.end
+    n_outputs, kind = vocab.outputs, vocab.number()
     # another crc32 than that which holds texts out, so that the parts are alike
     part = F.crc32(F.concat(F.lit("round:").cast("binary"), _id_bytes(F.col("doc_id")))) % rounds[-1]
     wide = 64
@@ -340,17 +431,15 @@ def train(docs: DataFrame, vocab: Vocabulary, dim: int = DIM, context: int = CON
                     mine.learn(c[some], t[some], rng, noise, rate)
                 return len(t)
 
-            outputs = vocab.listed_outputs()
             for rows in batches:
-                for text in rows.column("text").to_pylist():
+                for outputs in rows.column("outputs").to_pylist():
+                    line = np.frombuffer(outputs, kind).astype(np.int64)
                     held.begin()
-                    for words in word_runs(text or ""):
-                        held.add(vocab.outputs_of(words, outputs)[0])
+                    # the end by itself
+                    for piece in (*np.split(line[:-1], range(LINE, len(line) - 1, LINE)), line[-1:]):
+                        held.add(piece)
                         if held.size >= HELD:
                             seen += steps()
-                    held.add(np.array([end]))
-                    if held.size >= HELD:
-                        seen += steps()
             if held.size:
                 seen += steps()
             if seen:
@@ -365,7 +454,7 @@ def train(docs: DataFrame, vocab: Vocabulary, dim: int = DIM, context: int = CON
 
     for number, last in enumerate(rounds):
         since = rounds[number - 1] if number else 0
-        rows = docs.filter((part >= since) & (part < last)).select("text")
+        rows = parts.filter((part >= since) & (part < last)).select("outputs")
         learnt = rows.mapInArrow(learner(model.flat, number), "at int, v array<double>, n long")
         sums = learnt.groupBy("at").agg(F.sum("n").alias("n"), *[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(wide)])
         # as many rows as the parameters fill, whatever the data's size
@@ -378,43 +467,23 @@ def train(docs: DataFrame, vocab: Vocabulary, dim: int = DIM, context: int = CON
 
 
 class Scorer:
-    """Scores texts, the rows of an Arrow batch at a time."""
+    """Scores lines of outputs, the rows of an Arrow batch at a time."""
 
-    def __init__(self, vocab: Vocabulary, model: Model) -> None:
-        self.vocab, self.model = vocab, model
-        self.outputs, self.inner = vocab.listed_outputs(), vocab.inner()
-        self.log_counts, self.log_buckets = np.log10(vocab.counts + 1), np.log10(vocab.bucket_totals)
+    def __init__(self, model: Model, start: int) -> None:
+        self.model, self.start = model, start
 
     def begin(self, size: int) -> None:
-        self.contexts = Contexts(len(self.model.c), self.vocab.outputs)
+        self.contexts = Contexts(len(self.model.c), self.start)
         self.rows: list[tuple[int, int]] = []
-        self.tokens, self.known = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
-        self.logs, self.score = np.zeros(size), np.zeros(size)
+        self.score = np.zeros(size)
 
-    def text(self, row: int, text: str) -> Counter[bytes]:
-        """Takes up a text; gives its words that are not listed, whose counts are added later."""
-        rest: Counter[bytes] = Counter()
+    def add(self, row: int, line: np.ndarray) -> None:
         self.contexts.begin()
-        for words in word_runs(text):
-            outputs, at, missing = self.vocab.outputs_of(words, self.outputs)
-            found = at[at >= 0]
-            rest.update([words[i] for i in missing])
-            self.tokens[row] += len(words)
-            self.known[row] += len(found)
-            self.logs[row] += self.log_counts[found].sum()
-            self.score[row] += self.inner[found].sum() - self.log_buckets[outputs[missing] - self.vocab.end - 1].sum()
-            self._add(row, outputs)
-        self._add(row, np.array([self.vocab.end]))
-        self.tokens[row] += 1
-        self.known[row] += self.vocab.end_count > 0
-        self.logs[row] += np.log10(self.vocab.end_count + 1)
-        return rest
-
-    def _add(self, row: int, outputs: np.ndarray) -> None:
-        self.contexts.add(outputs)
-        self.rows.append((row, len(outputs)))
-        if self.contexts.size >= HELD:
-            self.finish()
+        for piece in np.split(line, range(LINE, len(line), LINE)):
+            self.contexts.add(piece)
+            self.rows.append((row, len(piece)))
+            if self.contexts.size >= HELD:
+                self.finish()
 
     def finish(self) -> None:
         if self.contexts.size:
@@ -425,31 +494,24 @@ class Scorer:
         self.rows = []
 
 
-def scored(docs: DataFrame, vocab: Vocabulary, model: Model) -> DataFrame:
-    """(row, doc_id, held, n_tokens, known, logs, score, words, times): the sums over listed words, and the other words.
-
-    ``logs`` sums log10(c + 1); ``score`` lacks that sum over the other words.
-    """
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    flat, frequencies = model.flat, vocab.frequencies()
+def scored(parts: DataFrame, vocab: Vocabulary, model: Model) -> DataFrame:
+    """``parts`` (``encoded``) without their words and outputs; ``score`` holds the model's probabilities of the outputs too."""
+    flat, frequencies, number, start = model.flat, vocab.frequencies(), vocab.number(), vocab.outputs
     dim, context = model.r.shape[1], len(model.c)
+    rows = parts.drop("words", "times")
+    kept = [f for f in rows.schema if f.name != "outputs"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine = Model(frequencies, dim, context, flat)
-        scorer = Scorer(vocab, mine)
+        scorer = Scorer(Model(frequencies, dim, context, flat), start)
         for batch in batches:
             scorer.begin(batch.num_rows)
-            rest = [scorer.text(i, t or "") for i, t in enumerate(batch.column("text").to_pylist())]
+            for i, outputs in enumerate(batch.column("outputs").to_pylist()):
+                scorer.add(i, np.frombuffer(outputs, number).astype(np.int64))
             scorer.finish()
-            yield pa.RecordBatch.from_arrays([
-                batch.column("row"), batch.column("doc_id"), batch.column("held"), pa.array(scorer.tokens), pa.array(scorer.known),
-                pa.array(scorer.logs), pa.array(scorer.score), pa.array([list(c) for c in rest], pa.list_(pa.binary())),
-                pa.array([list(c.values()) for c in rest], pa.list_(pa.int64()))],
-                names=["row", "doc_id", "held", "n_tokens", "known", "logs", "score", "words", "times"])
+            score = pa.array(scorer.score + batch.column("score").to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([score if f.name == "score" else batch.column(f.name) for f in kept], names=[f.name for f in kept])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", held_out(F.col("doc_id")).alias("held"), "text")
-    return rows.mapInArrow(run, f"row long, doc_id {id_type}, held boolean, n_tokens long, known long, logs double, score double, "
-                                "words array<binary>, times array<long>")
+    return rows.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept))
 
 
 def neural_scores(docs: DataFrame, head: int = HEAD, buckets: int = BUCKETS, listed: int = LISTED, dim: int = DIM, context: int = CONTEXT) -> DataFrame:
@@ -464,12 +526,12 @@ def neural_scores(docs: DataFrame, head: int = HEAD, buckets: int = BUCKETS, lis
     """
     counts = frozen(training_counts(docs.filter(~held_out(F.col("doc_id")))), "neural-counts")
     vocab = vocabulary(counts, head, buckets, min(max(listed, head), LISTED))
-    model = train(docs.filter(~held_out(F.col("doc_id"))), vocab, dim, context)
-    parts = frozen(scored(docs, vocab, model), "neural-parts")
+    parts = frozen(encoded(docs, vocab), "neural-parts")
+    model = train(parts.filter("NOT held"), vocab, dim, context)
     others = parts.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     found = others.join(counts, "word").groupBy("row").agg(
         F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more_logs"))
-    both = parts.drop("words", "times").join(found, "row", "left").na.fill(0, ["more", "more_logs"])
+    both = scored(parts, vocab, model).join(found, "row", "left").na.fill(0, ["more", "more_logs"])
     each = np.log10(vocab.total + vocab.distinct + 1)
     return both.select(
         "doc_id", F.col("held").alias("held_out"), "n_tokens", (F.col("known") + F.col("more")).alias("n_known"),
