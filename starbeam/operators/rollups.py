@@ -12,6 +12,8 @@ dimension, the one by day and customer no larger than the orders.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Collection, Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,10 +38,33 @@ def measures() -> list[Column]:
     return [F.count(F.lit(1)).alias("lines"), *[F.sum(c).alias(c) for c in SUMMED], given]
 
 
-def roll_up(fact: DataFrame) -> DataFrame:
-    """All roll-ups of ``fact``: NAME, KEYS (NULL where a roll-up is not by that key) and the measures.
+class OnDemand(Mapping[str, DataFrame]):
+    """The roll-ups of some facts, written when they are first asked for; ``write`` writes some by name and reads them back."""
+
+    def __init__(self, write: Callable[[Collection[str]], dict[str, DataFrame]]) -> None:
+        self._write, self._found = write, {}
+
+    def among(self, names: Collection[str]) -> dict[str, DataFrame]:
+        """Those of ``names`` that there are (empty facts have none), the missing ones written in one pass."""
+        missing = [n for n in names if n not in self._found]
+        if missing:
+            self._found |= self._write(missing)
+        return {n: self._found[n] for n in names if n in self._found}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.among([name])[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.among(ROLL_UPS))
+
+    def __len__(self) -> int:
+        return len(self.among(ROLL_UPS))
+
+
+def roll_up(fact: DataFrame, names: Collection[str] = tuple(ROLL_UPS)) -> DataFrame:
+    """Roll-ups of ``fact``, all or some: NAME, KEYS (NULL where a roll-up is not by that key) and the measures.
     An empty fact has none."""
-    sets = [[F.col(k) for k in keys] for keys in ROLL_UPS.values()]
+    sets = [[F.col(k) for k in ROLL_UPS[n]] for n in names]
     out = fact.groupingSets(sets, *[F.col(k) for k in KEYS]).agg(F.grouping_id().alias("_set"), *measures())
     # grouping_id: one bit a key, set where the row is not by it
     sets_of = {name: sum(1 << i for i, k in enumerate(reversed(KEYS)) if k not in keys) for name, keys in ROLL_UPS.items()}

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import discount_tier, safe_ratio, tier_condition
 from ..operators.distinct import BLOCK, ORDER_NO, block, orders_seen
-from ..operators.rollups import MEASURES, ROLL_UPS, SUMMED
+from ..operators.rollups import MEASURES, ROLL_UPS, SUMMED, OnDemand
 from ..session import size_in_bytes
 from .star import Star, vds_recommendations
 
@@ -246,11 +246,12 @@ def metric_query(
 def _smallest_rollup(star: Star, ms: Sequence[Metric], used: set[str]) -> str | None:
     """The smallest published roll-up, by its files, that holds the metrics and the keys of the tables
     used; None where only the fact does."""
-    if not star.rollups or "fact" in used or any(m.stored is None for m in ms):
+    if star.rollups is None or "fact" in used or any(m.stored is None for m in ms):
         return None
     keys = {_JOIN_KEY[t][0] for t in used}
-    holding = [n for n, by in ROLL_UPS.items() if keys <= set(by) and n in star.rollups]
-    return min(holding, key=lambda n: (size_in_bytes(star.rollups[n]), n), default=None)
+    able = [n for n, by in ROLL_UPS.items() if keys <= set(by)]
+    holding = star.rollups.among(able) if isinstance(star.rollups, OnDemand) else {n: star.rollups[n] for n in able if n in star.rollups}
+    return min(holding, key=lambda n: (size_in_bytes(holding[n]), n), default=None)
 
 
 def _date_keys(column, value) -> tuple[int, int] | None:

@@ -14,13 +14,14 @@ from __future__ import annotations
 import datetime as _dt
 import os
 import time
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .operators.rollups import ROLL_UPS, OnDemand
 from .plans.recs import load_recommendations, write_product_report
 from .plans.star import Star, build_star
 from .session import COMPRESSION, new_path
@@ -82,11 +83,14 @@ class Fixture:
         return read_star(self.spark, self.star_root)
 
     @cached_property
-    def rollups(self) -> dict[str, DataFrame]:
-        """The roll-ups of the star's facts."""
-        root = self.star_root
-        with self._timed("rollups"):
-            return write_rollups(self.spark, root) or {}
+    def rollups(self) -> OnDemand:
+        """The roll-ups of the star's facts, each written when a query reads it."""
+        def write(names: Collection[str]) -> dict[str, DataFrame]:
+            root = self.star_root
+            with self._timed("rollups"):
+                return write_rollups(self.spark, root, names) or {}
+
+        return OnDemand(write)
 
     @cached_property
     def rolled(self) -> Star:
@@ -104,8 +108,8 @@ class Fixture:
 
     @cached_property
     def star(self) -> Star:
-        """Everything: facts, recommendations and roll-ups."""
-        return self.loaded.with_(rollups=self.rollups)
+        """Everything: facts, recommendations and all roll-ups."""
+        return self.loaded.with_(rollups=self.rollups.among(ROLL_UPS))
 
     @property
     def reports(self) -> DataFrame:
